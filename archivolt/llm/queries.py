@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from archivolt.llm import encoding, golden, neighbours, packing, pieces
+from archivolt.llm import encoding, golden, neighbours, packing, pieces, scans
 from archivolt.llm.sql import SQL
 from archivolt.session import table
 
@@ -31,6 +31,8 @@ def queries() -> dict[str, Query]:
         "p5_pieces": _with(pieces.pieces, "chunks", "chunk_profiles"),
         "p6_found": _with(encoding.found, "chunks", "document_records"),
         "p6_repaired": _with(encoding.repaired, "chunks", "document_records"),
+        "p7_found": _with(scans.found, "chunks", "document_records"),
+        "p7_repaired": _with(scans.repaired, "chunks", "document_records"),
         "p8_packing": _with(packing.pack, "documents", "model_profiles"),
         "p8_fill": lambda spark, d: packing.fill(packing.pack(table(spark, d, "documents"), table(spark, d, "model_profiles"))),
     }
