@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from archivolt.llm import encoding, golden, neighbours, packing, pieces, scans
+from archivolt.llm import encoding, golden, language, neighbours, packing, pieces, scans
 from archivolt.llm.sql import SQL
 from archivolt.session import table
 
@@ -23,6 +23,9 @@ _GROUPS = ("duplicate_groups", "document_records", "extractor_profiles", "docume
 
 def queries() -> dict[str, Query]:
     return {
+        "p1_found": _with(language.found, "documents", "document_records", "normalized_documents"),
+        "p1_labels": _with(language.labels, "documents", "document_records"),
+        "p1_stretches": _with(language.stretches, "documents", "document_records"),
         "p2_found": _with(neighbours.found, "vector_rows", "model_profiles"),
         "p2_neighbours": _with(neighbours.neighbours, "vector_rows", "model_profiles"),
         "p4_found": _with(golden.found, *_GROUPS),
