@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from archivolt.llm import encoding, golden, language, neighbours, packing, pieces, scans
+from archivolt.llm import encoding, golden, language, leaks, neighbours, packing, pieces, scans
 from archivolt.llm.sql import SQL
 from archivolt.session import table
 
@@ -38,6 +38,8 @@ def queries() -> dict[str, Query]:
         "p7_repaired": _with(scans.repaired, "chunks", "document_records"),
         "p8_packing": _with(packing.pack, "documents", "model_profiles"),
         "p8_fill": lambda spark, d: packing.fill(packing.pack(table(spark, d, "documents"), table(spark, d, "model_profiles"))),
+        "p9_found": _with(leaks.found, "documents", "evaluation_items"),
+        "p9_leaks": _with(leaks.leaks, "documents", "evaluation_items"),
     }
 
 
