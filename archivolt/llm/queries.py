@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from archivolt.llm import encoding, golden, language, leaks, neighbours, packing, pieces, scans
+from archivolt.llm import encoding, golden, language, leaks, neighbours, packing, pieces, scans, subjects
 from archivolt.llm.sql import SQL
 from archivolt.session import table
 
@@ -20,6 +20,8 @@ def _with(fn: Callable[..., DataFrame], *names: str) -> Query:
 
 _GROUPS = ("duplicate_groups", "document_records", "extractor_profiles", "document_path_events")
 
+_SUBJECTS = ("documents", "subject_labels", "evaluation_items", "subjects")
+
 
 def queries() -> dict[str, Query]:
     return {
@@ -38,6 +40,10 @@ def queries() -> dict[str, Query]:
         "p7_repaired": _with(scans.repaired, "chunks", "document_records"),
         "p8_packing": _with(packing.pack, "documents", "model_profiles"),
         "p8_fill": lambda spark, d: packing.fill(packing.pack(table(spark, d, "documents"), table(spark, d, "model_profiles"))),
+        "p10_found": _with(subjects.found, *_SUBJECTS),
+        "p10_subjects": _with(subjects.subjects, *_SUBJECTS),
+        "p10_composition": _with(subjects.composition, *_SUBJECTS),
+        "p10_top_terms": _with(subjects.top_terms, *_SUBJECTS),
         "p9_found": _with(leaks.found, "documents", "evaluation_items"),
         "p9_leaks": _with(leaks.leaks, "documents", "evaluation_items"),
     }
