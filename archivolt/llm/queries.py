@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from archivolt.llm import encoding, golden, language, leaks, neighbours, packing, pieces, scans, subjects
+from archivolt.llm import encoding, golden, language, leaks, names, neighbours, packing, pieces, scans, subjects
 from archivolt.llm.sql import SQL
 from archivolt.session import table
 
@@ -30,6 +30,8 @@ def queries() -> dict[str, Query]:
         "p1_stretches": _with(language.stretches, "documents", "document_records"),
         "p2_found": _with(neighbours.found, "vector_rows", "model_profiles"),
         "p2_neighbours": _with(neighbours.neighbours, "vector_rows", "model_profiles"),
+        "p3_found": _with(names.found, "aliases"),
+        "p3_entities": _with(names.entities, "aliases"),
         "p4_found": _with(golden.found, *_GROUPS),
         "p4_golden": _with(golden.golden, *_GROUPS),
         "p5_found": _with(pieces.found, "chunks", "chunk_profiles"),
