@@ -30,6 +30,8 @@ BUCKETS, AXES, HALF, ROUNDS, SAMPLE = 1 << 15, 64, 16, 3, 40_000
 COSINE, RARE_SHARE, RARE_COMMON = 0.75, 0.04, 3
 #: A run must cover this share of the item; between matches a differing word costs MISS, each further word of the page in between SKIP.
 SHARE, MISS, SKIP = 1 / 3, 3.0, 0.15
+#: Width of the band of diagonals, and the share of the needed words that must be rare ones in step there.
+BAND, IN_STEP = 17, 0.16
 SEED = 7
 _SIGNATURE = 8  # words of 64 bits
 
@@ -198,9 +200,8 @@ class Matcher:
         """The longest dense run of the item's words around any of the candidate places, if it covers SHARE of the item."""
         words = self.words[item]
         need = SHARE * len(words)
-        # words of the document that occur in the item, and where: matches on a common diagonal mark the passage
-        order = np.argsort(words, kind="stable")
-        known = words[order]
+        rare_at = np.flatnonzero(self.rare[_bucket(words)])
+        rare = words[rare_at]
         best = None
         done_to = -1
         for place in places:
@@ -208,13 +209,13 @@ class Matcher:
                 continue
             lo, hi = max(0, place - len(words)), min(len(doc), place + 2 * HALF + len(words))
             region = doc[lo:hi]
-            at = np.minimum(np.searchsorted(known, region), len(known) - 1)
-            hit = known[at] == region
-            if hit.sum() < 0.7 * need:
+            # a passage keeps most of its rare words in step: on neighbouring diagonals
+            i, j = np.nonzero(rare[:, None] == region[None, :])
+            if not len(i):
                 continue
-            # a run needs many matches close together
-            dense = np.convolve(hit, np.ones(max(8, int(need))), "valid") if len(hit) >= need else np.array([hit.sum()])
-            if dense.max() < 0.6 * need:
+            steps = np.bincount(j - rare_at[i] + len(words), minlength=len(words) + len(region) + 1)
+            band = np.cumsum(np.append(0, steps))
+            if (band[BAND:] - band[:-BAND]).max(initial=0) < 1 + IN_STEP * need:
                 continue
             found = self._run(region, words, item, source, lo)
             if found is not None and (best is None or found[0] > best[0]):
