@@ -31,7 +31,7 @@ COSINE, RARE_SHARE, RARE_COMMON = 0.75, 0.04, 3
 #: A run must cover this share of the item; between matches a differing word costs MISS, each further word of the page in between SKIP.
 SHARE, MISS, SKIP = 1 / 3, 3.0, 0.15
 #: Width of the band of diagonals, and the share of the needed words that must be rare ones in step there.
-BAND, IN_STEP = 17, 0.16
+BAND, IN_STEP = 19, 0.12
 SEED = 7
 _SIGNATURE = 8  # words of 64 bits
 
