@@ -222,12 +222,21 @@ class Matcher:
                 best = found
                 if best[0] >= 0.95:
                     break
-            done_to = place + HALF
+            done_to = place + 2 * HALF  # the region reaches a whole item further
         return best if best is not None and best[0] >= SHARE - 1e-9 else None
 
     def _run(self, region: np.ndarray, words: np.ndarray, item: int, source, lo: int) -> tuple[float, int, int] | None:
         equal = words[:, None] == region[None, :]
-        equal |= self._alike(equal, item, source, lo)
+        exact = self._longest(equal, lo)
+        # damaged words are worth a look only where intact ones already make a start
+        if exact is None or exact[0] >= SHARE or exact[3] < max(6, 0.3 * SHARE * len(words)):
+            return exact and exact[:3]
+        found = self._longest(equal | self._alike(equal, item, source, lo), lo)
+        return found and found[:3]
+
+    @staticmethod
+    def _longest(equal: np.ndarray, lo: int) -> tuple[float, int, int, float] | None:
+        """(share of the item, first and last word, score) of the best run along a longest common subsequence."""
         n, m = equal.shape
         table = np.zeros((n + 1, m + 1), np.int16)
         for i in range(n):  # longest common subsequence, a row at a time
@@ -256,7 +265,7 @@ class Matcher:
         if not pairs:
             return None
         a, b = pairs[best[1]], pairs[best[2]]
-        return (b[0] - a[0] + 1) / n, lo + a[1], lo + b[1]
+        return (b[0] - a[0] + 1) / n, lo + a[1], lo + b[1], best[0]
 
     def _alike(self, equal: np.ndarray, item: int, source, lo: int) -> np.ndarray:
         """Words that differ by a character or two, only where their neighbours on the diagonal match."""
