@@ -27,7 +27,7 @@ from archivolt.session import cut
 #: Buckets of hashed words, latent axes, words of half a passage, rounds of the SVD, and the bound of its sample of passages.
 BUCKETS, AXES, HALF, ROUNDS, SAMPLE = 1 << 15, 64, 16, 3, 40_000
 #: Least cosine of a candidate; a word is rare if at most this share of documents holds it; least rare words in common.
-COSINE, RARE_SHARE, RARE_COMMON = 0.75, 0.04, 3
+COSINE, RARE_SHARE, RARE_COMMON = 0.8, 0.04, 3
 #: A run must cover this share of the item; between matches a differing word costs MISS, each further word of the page in between SKIP.
 SHARE, MISS, SKIP = 1 / 3, 3.0, 0.15
 #: Width of the band of diagonals, and the share of the needed words that must be rare ones in step there.
