@@ -3,7 +3,8 @@
 Method: metric-space partitioning. Names are parsed into parts; the distinctive part (surname, or core of a firm's name) is
 compared by a true edit metric. Cells are rings around the first pivot, the empty name, whose distance is the length; by the
 triangle inequality a name within the radius of a ring's border is also copied to the ring below, so no pair is lost.
-Inside a cell the distances to further pivots rule pairs out by the same inequality, and the rest get their exact distance.
+Inside a cell lower bounds of the distance rule pairs out: common letters, and the distances to further pivots by the same
+inequality; the rest get their exact distance.
 Crowded cells are split into blocks that meet pairwise. (Rings around further pivots would copy more than they separate:
 edit distances of unrelated names crowd together, see the README.)
 
@@ -31,7 +32,7 @@ from archivolt.session import cut
 
 #: Largest radius; names of up to so many letters get a radius of 1, 2 and 3. Ring width, pivots, rows of a block.
 RADIUS, SHORT, MEDIUM, LONG = 4, 6, 10, 14
-RING, PIVOTS, BLOCK = 5, 12, 3000
+RING, PIVOTS, BLOCK = 8, 12, 5000
 #: Transliteration of Cyrillic small letters.
 LATIN = {
     "а": "a", "б": "b", "в": "v", "г": "g", "ґ": "g", "д": "d", "е": "e", "ё": "e", "є": "e", "ж": "zh", "з": "z", "и": "i", "і": "i", "ї": "i", "й": "i",
@@ -216,32 +217,47 @@ def radius(length: np.ndarray) -> np.ndarray:
     return np.where(length <= SHORT, 1, np.where(length <= MEDIUM, 2, np.where(length <= LONG, 3, RADIUS)))
 
 
+def _letters(codes: np.ndarray, times: int = 3) -> np.ndarray:
+    """For each name and letter, whether it occurs once, twice, thrice: products of two rows count common letters."""
+    out = np.zeros((len(codes), 26, times), np.float32)
+    for letter in range(26):
+        n = (codes == 97 + letter).sum(1)
+        for k in range(times):
+            out[:, letter, k] = n > k
+    return out.reshape(len(codes), -1)
+
+
 def _join_cell(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-    """Pairs within their radius in one cell: pivots rule out, exact distances decide."""
+    """Pairs within their radius in one cell: lower bounds rule out (length, common letters, pivots), exact distances decide."""
     _, one, two = key
-    pdf = pdf.sort_values("core")
-    names = pdf["core"].to_numpy()
-    c, length = _codes(list(names))
-    p = np.stack([np.frombuffer(x, np.uint8) for x in pdf["pivots"]]).astype(np.int16) if len(pdf) else np.zeros((0, 0), np.int16)
+    pdf = pdf.assign(length=pdf["core"].str.len()).sort_values(["length", "core"])
+    names, length = pdf["core"].to_numpy(), pdf["length"].to_numpy().astype(np.int32)
+    c, _ = _codes(list(names))
+    x = _letters(c)
+    # letters beyond the third of a kind count as common, so the bound stays a lower one
+    spare = length - x.sum(1).astype(np.int32)
+    p = np.stack([np.frombuffer(v, np.uint8) for v in pdf["pivots"]]).astype(np.int16)
     block, home = pdf["block"].to_numpy(), pdf["home"].to_numpy()
     out = []
-    for lo in range(0, len(pdf), 256):
-        left = np.arange(lo, min(lo + 256, len(pdf)))
-        right = np.arange(lo, len(pdf))
-        gap = np.abs(length[left][:, None] - length[right][None, :])
-        r = radius(np.minimum(length[left][:, None], length[right][None, :]))
-        i, j = np.nonzero((gap <= r) & (left[:, None] < right[None, :]))
-        r = r[i, j]
-        i, j = left[i], right[j]
+    for lo in range(0, len(pdf), 512):
+        hi = min(lo + 512, len(pdf))
+        end = int(np.searchsorted(length, length[hi - 1] + RADIUS, side="right"))
+        common = x[lo:hi] @ x[lo:end].T
+        need = length[lo:end][None, :] - radius(length[lo:hi])[:, None]  # the longer name less the shorter one's radius
+        i, j = np.nonzero(common + np.minimum(spare[lo:hi][:, None], spare[lo:end][None, :]) >= need)
+        i, j = i + lo, j + lo
         # each pair once: in the blocks it belongs to, and not where both are copies
-        keep = (home[i] | home[j]) & ((block[i] == one) & (block[j] == two) | (block[i] == two) & (block[j] == one))
-        i, j, r = i[keep], j[keep], r[keep]
+        keep = (i < j) & (home[i] | home[j]) & ((block[i] == one) & (block[j] == two) | (block[i] == two) & (block[j] == one))
+        i, j = i[keep], j[keep]
+        r = radius(length[i])
+        near = length[j] - length[i] <= r
         for k in range(p.shape[1]):
-            near = np.abs(p[i, k] - p[j, k]) <= r
-            i, j, r = i[near], j[near], r[near]
-        if len(i):
-            near = distances(c[i], length[i], c[j], length[j]) <= r
-            out.append(pd.DataFrame({"src": names[i[near]], "dst": names[j[near]]}))
+            near &= np.abs(p[i, k] - p[j, k]) <= r
+        i, j, r = i[near], j[near], r[near]
+        for at in range(0, len(i), 50_000):
+            a, b, q = i[at : at + 50_000], j[at : at + 50_000], r[at : at + 50_000]
+            near = distances(c[a], length[a], c[b], length[b]) <= q
+            out.append(pd.DataFrame({"src": names[a[near]], "dst": names[b[near]]}))
     return pd.concat(out) if out else pd.DataFrame({"src": [], "dst": []}, dtype=object)
 
 
@@ -251,7 +267,8 @@ def links(cores: DataFrame, pivots: int = PIVOTS, block: int = BLOCK) -> DataFra
     chosen = drawn[:1]
     while drawn and len(chosen) < min(pivots, len(drawn)):  # pivots far from each other
         chosen.append(max(drawn, key=lambda d: (min(distance(d, c) for c in chosen), d)))
-    placed = cut(cores.mapInPandas(_spread(chosen), "core string, length int, pivots binary").withColumn("ring", F.floor(F.col("length") / RING).cast("int")))
+    parts = int(cores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = cut(cores.repartition(parts, "core").mapInPandas(_spread(chosen), "core string, length int, pivots binary").withColumn("ring", F.floor(F.col("length") / RING).cast("int")))
     below = placed.where(F.col("length") % RING < RADIUS).withColumn("ring", F.col("ring") - 1)
     cells = placed.withColumn("home", F.lit(True)).unionByName(below.withColumn("home", F.lit(False)))
     size = cells.groupBy("ring").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
