@@ -16,8 +16,18 @@ from pyspark.sql import functions as F
 
 VIEW = "text string, runs array<struct<ss: int, se: int, ts: int, te: int>>"
 
-_COMBINING = "".join(chr(c) for c in range(0x300, 0x370)) + "".join(chr(c) for c in range(0x483, 0x488))
-_SPECIAL = re.compile(rf"(?P<line>\r\n?|[\x0b\x0c\x1c-\x1e\x85  ])|(?P<space>[   -   　])|(?P<drop>[\x00-\x08\x0e-\x1b\x1f\x7f-\x84\x86-\x9f­​-‏‪-‮⁠-⁯﻿￹-￻\ud800-\udfff-])|(?P<cluster>[^{_COMBINING}][{_COMBINING}]+)")
+
+def _class(*ranges: tuple[int, int]) -> str:
+    """The inside of a character class of code-point ranges."""
+    return "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in ranges)
+
+
+#: Combining marks; line separators beside CR and LF; space separators; control, format and private characters.
+_COMBINING = _class((0x300, 0x36F), (0x483, 0x487))
+_LINES = _class((0x0B, 0x0C), (0x1C, 0x1E), (0x85, 0x85), (0x2028, 0x2029))
+_SPACES = _class((0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000))
+_DROPPED = _class((0, 8), (0x0E, 0x1B), (0x1F, 0x1F), (0x7F, 0x84), (0x86, 0x9F), (0xAD, 0xAD), (0x600, 0x605), (0x200B, 0x200F), (0x202A, 0x202E), (0x2060, 0x206F), (0xD800, 0xF8FF), (0xFEFF, 0xFEFF), (0xFFF9, 0xFFFB))
+_SPECIAL = re.compile(f"(?P<line>\r\n?|[{_LINES}])|(?P<space>[{_SPACES}])|(?P<drop>[{_DROPPED}])|(?P<cluster>[^{_COMBINING}][{_COMBINING}]+)")
 
 
 class _Runs:

@@ -2,51 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from archivolt.session import table
-
-Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
-_SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    """Register a query function (spark, directory) -> DataFrame and, where SQL can express it, its statement."""
-
-    def add(fn: Query) -> Query:
-        _QUERIES[name] = fn
-        if sql:
-            _SQL[name] = sql
-        return fn
-
-    return add
-
-
-@query(
-    "retained_language_counts",
-    """
-WITH k AS (SELECT doc_id, lang, n_chars, regexp_replace(lower(trim(text)), '[ \\t\\n\\r]+', ' ', 'g') AS key FROM documents WHERE text IS NOT NULL),
-r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY n_chars DESC, doc_id) AS rn FROM k)
-SELECT lang, count(*) AS kept, sum(n_chars) AS chars FROM r WHERE rn = 1 GROUP BY lang""",
-)
-def _retained_language_counts(spark: SparkSession, d: str) -> DataFrame:
-    key = F.xxhash64(F.regexp_replace(F.lower(F.trim("text")), r"[ \t\n\r]+", " "))
-    kept = (
-        table(spark, d, "documents")
-        .where("text is not null")
-        .groupBy(key.alias("key"))
-        .agg(F.max_by(F.struct("lang", "n_chars"), F.struct("n_chars", -F.col("doc_id"))).alias("r"))
-    )
-    return kept.groupBy(F.col("r.lang").alias("lang")).agg(F.count("*").alias("kept"), F.sum("r.n_chars").alias("chars"))
+from archivolt import queries_core, queries_data  # noqa: F401  (they register themselves)
+from archivolt.registry import QUERIES, SQL, Query
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    """Every core query by name."""
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    """DuckDB statements of those that SQL can express."""
+    return dict(SQL)
