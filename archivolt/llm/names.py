@@ -325,7 +325,8 @@ def entities(aliases: DataFrame) -> DataFrame:
     counted = rows.groupBy("alias_text").count().join(parsed, "alias_text")
     forms = counted.groupBy("kind", "core", "first", "second").agg(F.sum("count").alias("n")).join(cluster, "core")
     # a cluster holds the different forms of one surname or firm, however often each occurs
-    solved = forms.groupBy("cluster").applyInPandas(_resolve, "cluster string, kind string, core string, first string, second string, entity string")
+    parts = int(aliases.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    solved = forms.repartition(parts, "cluster").groupBy("cluster").applyInPandas(_resolve, "cluster string, kind string, core string, first string, second string, entity string")
     named = rows.join(parsed, "alias_text", "left").join(solved, ["kind", "core", "first", "second"], "left")
     named = cut(named.select("alias_id", F.coalesce(F.sha2(F.concat_ws("|", "cluster", "entity"), 256), F.col("alias_id")).alias("name"), F.col("cluster").isNull().alias("alone")))
     name = F.when(F.col("alone"), F.concat(F.lit("alone "), "alias_id")).otherwise(F.col("name"))
