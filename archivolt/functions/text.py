@@ -167,12 +167,12 @@ def words(column: str | Column) -> Column:
 
 
 def shingles(words_column: Column, size: int = 5) -> Column:
-    """Contiguous word n-grams as strings; a shorter text is one shingle of all its words, an empty one has none."""
+    """Contiguous word n-grams as strings; a shorter text is one shingle of all its words, an empty one has none; null stays null."""
 
     def grams(w: Column) -> Column:
         n = F.size(w)
         runs = F.transform(F.sequence(F.lit(1), n - size + 1), lambda i: F.array_join(F.slice(w, i, size), " "))
-        return F.when(n >= size, runs).when(n > 0, F.array(F.array_join(w, " "))).otherwise(F.array().cast("array<string>"))
+        return F.when(n >= size, runs).when(n > 0, F.array(F.array_join(w, " "))).when(n == 0, F.array().cast("array<string>"))
 
     # bound by a lambda, the words are computed once and not for every n-gram
     return F.transform(F.array(words_column), grams)[0]

@@ -69,7 +69,7 @@ def read_published(spark: SparkSession, path: str, verify: bool = True) -> DataF
         for name, digest in files.items():
             if not os.path.exists(os.path.join(path, name)) or _digest(os.path.join(path, name)) != digest:
                 raise ValueError(f"{name} is not as published")
-    return spark.read.parquet(path)
+    return spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
 
 
 def activate(root: str, kind: str, projection: str, publishable: bool) -> dict:

@@ -65,7 +65,7 @@ def scan(spark: SparkSession, root: str, silo: str) -> DataFrame:
     prefix = "file:" + os.path.abspath(root).rstrip("/") + "/"
     path = F.regexp_replace(F.regexp_replace("path", "^file:/*", "file:/"), "^" + re.escape(prefix), "")
     mime = media_type(F.col("content"), path)
-    encrypted = F.position(F.lit("/Encrypt"), F.decode(F.col("content"), F.lit("ISO-8859-1"))) > 0
+    encrypted = F.position(F.lit("/Encrypt"), F.decode(F.col("content"), "ISO-8859-1")) > 0
     encrypted = (mime == "application/pdf") & encrypted
     return files.select(F.lit(silo).alias("silo"), path.alias("relative_path"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"), F.sha2("content", 256).alias("content_hash"), mime.alias("media_type"), encrypted.alias("encrypted"), quarantine_reason(mime, encrypted).alias("quarantine_reason"))
 
@@ -81,7 +81,7 @@ def media_type(content: Column, path: Column) -> Column:
     out = out.when(F.substring(content, 258, 5) == F.lit(b"ustar"), "application/x-tar")
     for mark in ("0000feff", "fffe0000", "efbbbf", "feff", "fffe"):
         out = out.when(head.startswith(mark), "text/plain")
-    sample = F.decode(F.substring(content, 1, 65536), F.lit("ISO-8859-1"))
+    sample = F.decode(F.substring(content, 1, 65536), "ISO-8859-1")
     return out.when(sample.rlike(r"[\x00-\x08\x0e-\x1f]"), "application/octet-stream").when(suffix.isin("html", "htm"), "text/html").otherwise("text/plain")
 
 
