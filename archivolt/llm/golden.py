@@ -62,12 +62,14 @@ def survivors(long: DataFrame) -> DataFrame:
 
 def golden_fields(long: DataFrame, half_life_days: float = HALF_LIFE_DAYS) -> DataFrame:
     """One row per group with the winning value of each field. Votes are summed per value before anything else is shuffled."""
-    newest = F.to_timestamp(F.lit("2030-01-01"))
-    age = (F.unix_micros(newest) - F.unix_micros("loaded_at")) / F.lit(86_400e6)
+    # age counts from the group's newest record
+    newest = long.groupBy("group_id").agg(F.max("loaded_at").alias("newest"))
+    age = (F.unix_micros("newest") - F.unix_micros("loaded_at")) / F.lit(86_400e6)
     weight = F.pow(F.lit(0.5), age / F.lit(half_life_days)) / F.coalesce(F.col("trust_rank"), F.lit(UNRANKED))
     # votes are whole numbers, so that their sums don't depend on the order of addition
     votes = (
         long.where("value is not null and loaded_at is not null")
+        .join(newest, "group_id")
         .withColumn("key", F.lower(F.regexp_replace("value", r"(?U)\s+", " ")))
         .groupBy("group_id", "field", "key")
         .agg(F.sum(F.round(weight * 1e9).cast("long")).alias("votes"), F.max(F.struct("loaded_at", "value")).alias("at"))

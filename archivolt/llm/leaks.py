@@ -8,7 +8,7 @@ by the longest common subsequence of words around it: the longest dense run of t
 Bounds: the axes are fitted on a bounded sample of passages, drawn by hash; every passage of every document is searched.
 Items are a fixed small table, matched in blocks.
 
-Defined cases: null texts match nothing; an item without words matches nothing; items shorter than a passage are one passage;
+Defined cases: rows without a doc_id are left out; null texts match nothing; an item without words matches nothing; items shorter than a passage are one passage;
 repeated documents are found alike; words split by a line break count as differing words.
 """
 
@@ -317,10 +317,10 @@ BLOCK = 2000
 def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, document_id, evaluation_item_id, covered, cosine, start_char, end_char): the items found in each document."""
     spark = documents.sparkSession
-    stated = [(r.evaluation_item_id, r.query_text) for r in items.where("evaluation_item_id is not null and length(query_text) > 0").select("evaluation_item_id", "query_text").dropDuplicates(["evaluation_item_id"]).orderBy("evaluation_item_id").toLocalIterator()]  # a fixed table of held-out items
+    stated = [(r.evaluation_item_id, r.query_text) for r in items.where("evaluation_item_id is not null and length(query_text) > 0").select("evaluation_item_id", "query_text").groupBy("evaluation_item_id").agg(F.min("query_text").alias("query_text")).orderBy("evaluation_item_id").toLocalIterator()]  # a fixed table of held-out items
     df, n = frequencies(documents)
     idf, v = axes(documents, df, n)
-    texts = documents.where("length(text) > 0").select("doc_id", "document_id", "text")
+    texts = documents.where("doc_id is not null and length(text) > 0").select("doc_id", "document_id", "text")
     out = None
     for lo in range(0, max(1, len(stated)), BLOCK):
         shared = spark.sparkContext.broadcast(Matcher(stated[lo : lo + BLOCK], idf, v, df, n))

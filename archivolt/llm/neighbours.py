@@ -37,6 +37,7 @@ def usable(rows: DataFrame, profiles: DataFrame) -> DataFrame:
     parts = F.split(bare, r"\s*[,;]\s*|\s+")
     nums = F.transform(parts, lambda x: x.try_cast("double"))
     fine = F.forall("nums", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < 1e7))
+    rows = rows.select("embedding_id", "profile_id", "dimensions", "vector_ref", "target_kind", "target_id")
     return (
         rows.where("embedding_id is not null and vector_ref is not null and dimensions is not null")
         .join(dims, "profile_id")

@@ -5,7 +5,7 @@ sees them as items, cut only where longer than a container. Every partition keep
 each item where it leaves least room, and emits the fullest window when none fits; items arrive longest first. At last the
 windows left clearly unfilled are packed again, as whole items, across partitions.
 
-Defined cases: null and empty texts have no tokens and take no place; equal texts are separate items; a profile without a
+Defined cases: rows without a doc_id are left out; null and empty texts have no tokens and take no place; equal texts are separate items; a profile without a
 positive capacity packs nothing; a document longer than the capacity fills whole containers, and its remainder is an item.
 """
 
@@ -67,7 +67,7 @@ def _count(path: str):
 
 def token_counts(documents: DataFrame, tokenizers: str = TOKENIZERS, ranks: str = RANKS) -> DataFrame:
     """(doc_id, n_tokens) of every document with a text."""
-    return documents.where("length(text) > 0").select("doc_id", "text").mapInPandas(_count(f"{tokenizers}/{ranks}"), "doc_id long, n_tokens long")
+    return documents.where("doc_id is not null and length(text) > 0").select("doc_id", "text").mapInPandas(_count(f"{tokenizers}/{ranks}"), "doc_id long, n_tokens long")
 
 
 class Windows:

@@ -126,4 +126,4 @@ def pieces(chunks: DataFrame, profiles: DataFrame) -> DataFrame:
 
 def found(chunks: DataFrame, profiles: DataFrame) -> DataFrame:
     """The chunks that were cut: those with a first piece."""
-    return pieces(chunks, profiles).where("ordinal = 0").select("chunk_id")
+    return pieces(chunks, profiles).where("ordinal = 0 and chunk_id is not null").select("chunk_id")
