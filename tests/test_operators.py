@@ -190,3 +190,27 @@ def test_evidence(spark):
     spans = spark.createDataFrame([("s", "d", 5, 9)], "span_id string, document_id string, start_char int, end_char int")
     assert rows(evidence.spans_in_chunks(spans, chunks)) == [("s", "c1", 4, True), ("s", "c2", 1, False)]
     assert F is not None
+
+
+def test_query_filter(spark):
+    d = spark.createDataFrame([(1, ["red", "hay", "bale"], "a"), (2, ["hay", "cart"], "b"), (3, [], "a"), (4, None, "a")], "i int, w array<string>, f string")
+
+    def hits(q):
+        return [r.i for r in d.where(lexical.query_filter(q, F.col("w"), {"f": F.col("f")})).orderBy("i").collect()]
+
+    assert hits('"hay bale"') == [1] and hits("hay AND NOT red") == [2] and hits("ca* OR red") == [1, 2] and hits("hay AND (f:b OR bale)") == [1, 2] and hits("red cart") == [1, 2]
+    for bad in ("(a", "a)", "AND a", "x:y", "a AND"):
+        with pytest.raises(ValueError):
+            hits(bad)
+    assert lexical.expand_aliases("buy IT now", {"it": ["information technology"]}) == ["buy IT now", 'buy "information technology" now']
+    assert lexical.expand_aliases("buy it now", {"it": ["x"]}) == ["buy it now"]
+
+
+def test_item_scores(spark):
+    from archivolt.operators import scores
+
+    d = spark.createDataFrame([(["a", "a", "b"], ["a", "b", "b"]), ([], [])], "g array<string>, p array<string>")
+    assert [tuple(r) for r in d.select(F.round(scores.bag_f1(F.col("g"), F.col("p")), 4), scores.set_f1(F.col("g"), F.col("p"))).collect()] == [(0.6667, 1.0), (1.0, 1.0)]
+    assert scores.finite(spark.createDataFrame([(1.0, float("nan"))], "x double, y double"), ["x", "y"]).orderBy("column").collect()[1].bad == 1
+    assert scores.zipf_filler(spark, 3, 5, 100).collect() == scores.zipf_filler(spark, 3, 5, 100).collect()
+    assert scores.reciprocal_links(spark.createDataFrame([(1, 1, 2), (2, 1, 1), (3, 1, 1)], "query_id int, rank int, id int"), 1).collect()[0].right == 2
