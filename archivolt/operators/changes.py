@@ -90,3 +90,19 @@ def path_overlay(events: DataFrame) -> DataFrame:
 
     done = F.aggregate("log", start, step)
     return per.select("occurrence_id", "document_id", done["path"].alias("relative_path"), F.size("log").alias("events"), done["ok"].alias("consistent"))
+
+
+def merge_review(derived: DataFrame, decisions: DataFrame) -> DataFrame:
+    """derived (object_id, ...) under review decisions (object_id, action, target_id): merged objects point to their target, split ones are marked.
+
+    Decisions are overlays: nothing is deleted, and the last decision of an object counts."""
+    last = latest(decisions.select("object_id", "action", "target_id", "decided_at"), ["object_id"], ["decided_at", "action", "target_id"])
+    j = derived.join(last, "object_id", "left")
+    state = F.when(F.col("action") == "merge", "merged").when(F.col("action") == "split", "split").otherwise(F.col("review_state"))
+    return j.select(*[state.alias(c) if c == "review_state" else F.col(c) for c in derived.columns], F.when(F.col("action") == "merge", F.col("target_id")).otherwise(F.col("object_id")).alias("effective_id"))
+
+
+def affected_hashes(diff: DataFrame) -> DataFrame:
+    """(content_hash, reason): contents to process anew after a manifest diff: added and changed ones, and those only renamed."""
+    reason = F.when(F.col("kind") == "path-rename", "renamed").when(F.col("kind").isin("add", "content-change"), "affected")
+    return diff.select("content_hash", reason.alias("reason")).where("reason is not null").groupBy("content_hash").agg(F.min("reason").alias("reason"))

@@ -88,3 +88,43 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 def _(spark: SparkSession, d: str) -> DataFrame:
     n = table(spark, d, "documents").count()
     return scores.zipf_filler(spark, n, 20, 5000)
+
+
+@query(
+    "projection_reconciliation",
+    """SELECT (SELECT count(document_id) FROM documents) AS source_rows, (SELECT count(DISTINCT document_id) FROM document_records) AS projection_rows,
+ (SELECT count(*) FROM documents WHERE document_id NOT IN (SELECT document_id FROM document_records)) AS missing,
+ (SELECT count(DISTINCT document_id) FROM document_records WHERE document_id NOT IN (SELECT document_id FROM documents)) AS extra,
+ (SELECT count(*) FROM documents WHERE document_id NOT IN (SELECT document_id FROM document_records)) + (SELECT count(DISTINCT document_id) FROM document_records WHERE document_id NOT IN (SELECT document_id FROM documents)) = 0 AS same_ids""",
+)
+def _(spark: SparkSession, d: str) -> DataFrame:
+    from archivolt.plans.inspect import reconcile
+
+    return reconcile(table(spark, d, "documents").select("document_id"), table(spark, d, "document_records").select("document_id").distinct(), "document_id")
+
+
+@query(
+    "forecast_decision",
+    """WITH p AS (SELECT bucket AS device, sum(end_char - start_char) * 4 AS peak FROM chunks GROUP BY bucket)
+SELECT device, CASE WHEN device = 'f' THEN 'unknown' WHEN peak > 400000 THEN 'blocked' WHEN peak > 350000 THEN 'degraded' ELSE 'ready' END AS decision FROM p""",
+)
+def _(spark: SparkSession, d: str) -> DataFrame:
+    from archivolt.operators.forecast import decision
+
+    p = table(spark, d, "chunks").groupBy(F.col("bucket").alias("device")).agg((F.sum(F.col("end_char") - F.col("start_char")) * 4).alias("peak"))
+    return p.select("device", decision(F.col("peak") <= 400000, F.col("device") != "f", F.col("peak") > 350000).alias("decision"))
+
+
+@query("current_documents", "SELECT document_id, title, 'archive' AS source_schema, 'document_records' AS source_table FROM (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY loaded_at DESC) AS rn FROM (SELECT DISTINCT document_id, trim(title) AS title, loaded_at FROM document_records)) WHERE rn = 1")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    from archivolt.contracts import strip
+    from archivolt.operators.changes import latest
+
+    r = latest(table(spark, d, "document_records").select("document_id", strip("title").alias("title"), "loaded_at"), ["document_id"], ["loaded_at"])
+    return r.select("document_id", "title", F.lit("archive").alias("source_schema"), F.lit("document_records").alias("source_table"))
+
+
+@query("graph_projection_edges", "SELECT DISTINCT document_id AS src, group_id AS dst, method AS kind FROM duplicate_groups WHERE group_id IS NOT NULL AND role IN ('member', 'representative')")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    g = table(spark, d, "duplicate_groups").where(F.col("group_id").isNotNull() & F.col("role").isin("member", "representative"))
+    return g.select(F.col("document_id").alias("src"), F.col("group_id").alias("dst"), F.col("method").alias("kind")).distinct()

@@ -214,3 +214,51 @@ def test_item_scores(spark):
     assert scores.finite(spark.createDataFrame([(1.0, float("nan"))], "x double, y double"), ["x", "y"]).orderBy("column").collect()[1].bad == 1
     assert scores.zipf_filler(spark, 3, 5, 100).collect() == scores.zipf_filler(spark, 3, 5, 100).collect()
     assert scores.reciprocal_links(spark.createDataFrame([(1, 1, 2), (2, 1, 1), (3, 1, 1)], "query_id int, rank int, id int"), 1).collect()[0].right == 2
+
+
+def test_inspection(spark, tmp_path):
+    from archivolt.plans import inspect as ins
+
+    d = spark.createDataFrame([("a", 1, "g1"), ("b", None, "g1")], "id string, n long, generation_id string")
+    assert ins.same_content(d, d.withColumn("generation_id", F.lit("g2")).orderBy(F.desc("id"))) and not ins.same_content(d, d.limit(1))
+    d.write.parquet(str(tmp_path / "t"))
+    contract = c.Contract("t", (c.Field("id", "string", True, primary=True), c.Field("n", "integer"), c.Field("generation_id", "string")), partition=None)
+    seen = ins.inspect_dataset(spark, str(tmp_path / "t"), contract)
+    assert seen["rows"] == 2 and seen["state"] == "matching" and ins.inspect_dataset(spark, str(tmp_path / "t"))["state"] == "unregistered"
+    assert ins.contract_files(contract)["t.ddl"] == "id string NOT NULL,\nn bigint,\ngeneration_id string\n"
+    now = [0.0]
+    p = ins.Progress(100, [ins.jsonl_sink(str(tmp_path / "log"))], clock=lambda: now[0])
+    assert p.update(1) is None
+    now[0] = 10.0
+    assert p.update(50)["left_s"] == 10.0
+    now[0] = 200.0
+    assert p.update(50)["state"] == "stalled" and p.update(100)["state"] == "finished"
+
+
+def test_review_overlays(spark):
+    d = spark.createDataFrame([("o1", "open"), ("o2", "open"), ("o3", "open")], "object_id string, review_state string")
+    k = spark.createDataFrame([("o1", "split", None, 1), ("o1", "merge", "o2", 2), ("o3", "split", None, 1)], "object_id string, action string, target_id string, decided_at int")
+    assert rows(changes.merge_review(d, k)) == [("o1", "merged", "o2"), ("o2", "open", "o2"), ("o3", "split", "o3")]
+    m = spark.createDataFrame([("add", "h1"), ("path-rename", "h1"), ("path-rename", "h2"), ("remove", "h3")], "kind string, content_hash string")
+    assert rows(changes.affected_hashes(m)) == [("h1", "affected"), ("h2", "renamed")]
+
+
+def test_near_duplicates_against_brute_force(spark, smoke_dir):
+    docs = spark.read.parquet(f"{smoke_dir}/documents.parquet")
+    texts = {r.doc_id: " ".join(r.text.lower().split()) for r in docs.where("text is not null").collect()}
+    import re
+
+    def grams(t):
+        w = re.findall(r"[^\W_]+", t)
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+    distinct = {}
+    for k, t in sorted(texts.items()):
+        distinct.setdefault(t, k)
+    sets = {k: grams(t) for t, k in distinct.items()}
+    got = {r.id: r for r in dedupe.near_duplicates(docs).collect()}
+    want = {(a, b) for a in sets for b in sets if a < b and len(sets[a]) >= 5 and len(sets[b]) >= 5 and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert all(got[a].class_id == got[b].class_id for a, b in want)
+    assert all(got[k].class_id == got[distinct[t]].class_id for k, t in texts.items())
+    linked = {x for p in want for x in p}
+    assert all(got[k].class_id == k or k in linked for k in sets)
