@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import text
+from llm_samples import text
 from pyspark.sql import functions as F
 
 from archivolt.llm import encoding, language, leaks, scans, subjects
