@@ -31,5 +31,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame, rounds: int = 60
         if last == state:
             break
         last = state
+    else:
+        raise RuntimeError(f"no end after {rounds} rounds")
     label = e.groupBy("src").agg(F.min("dst").alias("component"))
     return vertices.select("id").distinct().join(label, F.col("id") == F.col("src"), "left").select("id", F.coalesce("component", "id").alias("component"))

@@ -26,14 +26,14 @@ def bounded_walk(edges: DataFrame, start, depth: int) -> DataFrame:
         SELECT depth, src, dst FROM walk""")
 
 
-def reachable(edges: DataFrame, starts: DataFrame, rounds: int = 200) -> DataFrame:
+def reachable(edges: DataFrame, starts: DataFrame) -> DataFrame:
     """(id): all vertices reachable from the starts (column `id`), they included; cycles are no matter.
 
     The frontier joins the edges and drops what was visited, until it is empty; each round is checkpointed."""
     e = edges.select("src", "dst").dropna().distinct()
     seen = cut(starts.select("id").dropna().distinct())
     frontier = seen
-    for _ in range(rounds):
+    while True:
         frontier = cut(e.join(frontier, F.col("src") == F.col("id"), "left_semi").select(F.col("dst").alias("id")).distinct().join(seen, "id", "left_anti"))
         if frontier.isEmpty():
             break
@@ -41,11 +41,11 @@ def reachable(edges: DataFrame, starts: DataFrame, rounds: int = 200) -> DataFra
     return seen
 
 
-def cycle_core(edges: DataFrame, rounds: int = 200) -> DataFrame:
+def cycle_core(edges: DataFrame) -> DataFrame:
     """(src, dst): edges left when vertices without incoming or outgoing edges are peeled off; empty if and only if there is no cycle."""
     e = cut(edges.select("src", "dst").dropna().distinct())
     n = e.count()
-    for _ in range(rounds):
+    while True:
         e = cut(e.join(e.select(F.col("dst").alias("src")).distinct(), "src", "left_semi").join(e.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi").select("src", "dst"))
         left = e.count()
         if left == n or not left:
@@ -91,9 +91,9 @@ def class_closure(parents: DataFrame, depth: int = 64) -> DataFrame:
     for _ in range(depth):
         frontier = cut(frontier.join(step, "ancestor").select("class_id", F.col("up").alias("ancestor")).join(known, ["class_id", "ancestor"], "left_anti").distinct())
         if frontier.isEmpty():
-            break
+            return known
         known = cut(known.union(frontier))
-    return known
+    raise ValueError(f"classes nest deeper than {depth}, or in a cycle")
 
 
 def code_ancestors(df: DataFrame, code: str = "code") -> DataFrame:

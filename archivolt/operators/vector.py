@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from archivolt.session import cut
+
 
 def dot(a: Column, b: Column) -> Column:
     """Scalar product of two arrays of numbers."""
@@ -33,42 +40,39 @@ def nearest(df: DataFrame, query: list[float], k: int = 10, identity: str = "vec
     return df.where(F.size(vector) == len(query)).select(identity, F.round(l2(F.col(vector), q), 6).alias("distance")).orderBy("distance", identity).limit(k)
 
 
-def nearest_of_queries(df: DataFrame, queries: DataFrame, k: int = 5, identity: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def nearest_of_queries(df: DataFrame, queries: DataFrame, k: int = 5, identity: str = "vec_id", vector: str = "embedding", block: int = 4096) -> DataFrame:
     """(query_id, rank, id, distance): every stated query against all rows.
 
     The queries, (query_id, query), are a stated set matched in blocks: each task scores its own rows and keeps k per query, so
     what is shuffled is k rows a query and task, never the pairs."""
-    from collections.abc import Iterator
-
-    import numpy as np
-    import pandas as pd
-
     spark = df.sparkSession
-    stated = [(r.query_id, list(r.query)) for r in queries.select("query_id", "query").orderBy("query_id").collect()]
-    parts = []
-    for lo in range(0, len(stated), 4096):
-        shared = spark.sparkContext.broadcast(stated[lo : lo + 4096])
+    kind, qkind = dict(df.dtypes)[identity], dict(queries.dtypes)["query_id"]
+    rows = df.where(F.col(vector).isNotNull()).select(identity, vector)
 
-        def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+    def score(shared):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             ids, q = [i for i, _ in shared.value], np.array([v for _, v in shared.value], np.float64)
             for pdf in batches:
                 x = np.stack(pdf[vector].to_numpy()).astype(np.float64)
                 names = pdf[identity].to_numpy()
                 for a in range(0, len(q), 256):
-                    block = q[a : a + 256]
-                    d = np.round(np.sqrt(np.maximum(0, (block**2).sum(1)[:, None] + (x**2).sum(1)[None] - 2 * block @ x.T)), 6)
+                    part = q[a : a + 256]
+                    d = np.round(np.sqrt(np.maximum(0, (part**2).sum(1)[:, None] + (x**2).sum(1)[None] - 2 * part @ x.T)), 6)
                     for i, row in enumerate(d):
                         kth = np.partition(row, min(k, len(row)) - 1)[min(k, len(row)) - 1]
                         at = np.flatnonzero(row <= kth)
-                        at = at[np.lexsort((names[at], row[at]))][: k + 1]
+                        at = at[np.lexsort((names[at], row[at]))][:k]
                         yield pd.DataFrame({"query_id": ids[a + i], "id": names[at], "distance": row[at]})
 
-        kind = dict(df.dtypes)[identity]
-        qkind = dict(queries.dtypes)["query_id"]
-        parts.append(df.where(F.col(vector).isNotNull()).select(identity, vector).mapInPandas(run, f"query_id {qkind}, id {kind}, distance double"))
-    near = parts[0]
-    for p in parts[1:]:
-        near = near.unionByName(p)
+        return run
+
+    near = None
+    # the driver holds one block of queries at a time; a further block starts when the one before is written
+    for chunk in itertools.batched(((r.query_id, list(r.query)) for r in queries.select("query_id", "query").toLocalIterator()), block):
+        found = rows.mapInPandas(score(spark.sparkContext.broadcast(list(chunk))), f"query_id {qkind}, id {kind}, distance double")
+        near = cut(found) if near is None else near.unionByName(cut(found))
+    if near is None:
+        near = spark.createDataFrame([], f"query_id {qkind}, id {kind}, distance double")
     best = near.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list(F.struct("distance", "id"))), 1, k).alias("best"))
     return best.select("query_id", F.posexplode("best").alias("rank", "b")).select("query_id", (F.col("rank") + 1).alias("rank"), F.col("b.id").alias("id"), F.col("b.distance").alias("distance"))
 
