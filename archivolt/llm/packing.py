@@ -111,27 +111,28 @@ _PLACED = "profile_id string, capacity long, container string, used long, doc_id
 
 
 def _pack(bound: int):
+    """Pack each slot's items; rows of a slot follow one another, so only one slot's windows are open."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        open_: dict[tuple, Windows] = {}
+        key, windows = None, None
         rows: list[tuple] = []
 
-        def emit(key, window):
+        def emit(window):
             number, items, used = window
             rows.extend((key[0], key[1], f"{key[2]}-{number}", used, *item) for item in items)
 
         for pdf in batches:
             for r in pdf.itertuples(index=False):
-                key = (r.profile_id, int(r.capacity), int(r.slot))
-                w = open_.get(key)
-                if w is None:
-                    w = open_[key] = Windows(key[1], bound)
-                if (out := w.place((r.doc_id, r.part, r.token_start, r.n_tokens), int(r.n_tokens))) is not None:
-                    emit(key, out)
+                if key != (at := (r.profile_id, int(r.capacity), int(r.slot))):
+                    for window in windows.rest() if windows else ():
+                        emit(window)
+                    key, windows = at, Windows(at[1], bound)
+                if (out := windows.place((r.doc_id, r.part, r.token_start, r.n_tokens), int(r.n_tokens))) is not None:
+                    emit(out)
             yield pd.DataFrame(rows, columns=_COLS)
             rows.clear()
-        for key, w in open_.items():
-            for out in w.rest():
-                emit(key, out)
+        for window in windows.rest() if windows else ():
+            emit(window)
         yield pd.DataFrame(rows, columns=_COLS)
 
     return run
@@ -141,19 +142,21 @@ _COLS = [c.split()[0] for c in _PLACED.split(", ")]
 
 
 def _repack(bound: int):
+    """Pack unfilled windows, as whole items, into merged ones; slot by slot as above."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        open_: dict[tuple, Windows] = {}
+        key, windows = None, None
         rows: list[tuple] = []
         for pdf in batches:
             for r in pdf.itertuples(index=False):
-                key = (r.profile_id, int(r.capacity), int(r.slot))
-                w = open_.setdefault(key, Windows(key[1], bound))
-                if (out := w.place(r.container, int(r.used))) is not None:
+                if key != (at := (r.profile_id, int(r.capacity), int(r.slot))):
+                    rows += [(key[0], c, f"m{key[2]}-{n}") for n, items, _ in (windows.rest() if windows else ()) for c in items]
+                    key, windows = at, Windows(at[1], bound)
+                if (out := windows.place(r.container, int(r.used))) is not None:
                     rows += [(key[0], c, f"m{key[2]}-{out[0]}") for c in out[1]]
             yield pd.DataFrame(rows, columns=["profile_id", "container", "merged"])
             rows = []
-        for key, w in open_.items():
-            rows += [(key[0], c, f"m{key[2]}-{number}") for number, items, _ in w.rest() for c in items]
+        rows += [(key[0], c, f"m{key[2]}-{n}") for n, items, _ in (windows.rest() if windows else ()) for c in items]
         yield pd.DataFrame(rows, columns=["profile_id", "container", "merged"])
 
     return run
