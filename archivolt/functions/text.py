@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column
