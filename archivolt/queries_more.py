@@ -128,3 +128,17 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 def _(spark: SparkSession, d: str) -> DataFrame:
     g = table(spark, d, "duplicate_groups").where(F.col("group_id").isNotNull() & F.col("role").isin("member", "representative"))
     return g.select(F.col("document_id").alias("src"), F.col("group_id").alias("dst"), F.col("method").alias("kind")).distinct()
+
+
+@query(
+    "bm25_all_cases",
+    f"""WITH t AS (SELECT doc_id AS id, {_W} AS w FROM documents WHERE text IS NOT NULL), st AS (SELECT count(*) AS n, avg(len(w)) AS a FROM t),
+q AS (SELECT evaluation_item_id AS query_id, unnest(list_distinct(regexp_extract_all(lower(query_text), '[\\p{{L}}\\p{{N}}]+'))) AS term FROM evaluation_items),
+p AS (SELECT id, len(w) AS dl, unnest(w) AS term FROM t), f AS (SELECT id, term, count(*) AS tf, any_value(dl) AS dl FROM p WHERE term IN (SELECT term FROM q) GROUP BY id, term),
+d AS (SELECT term, count(*) AS df FROM f GROUP BY term),
+s AS (SELECT query_id, id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / a))), 6) AS score FROM f JOIN d USING (term) JOIN q USING (term), st GROUP BY query_id, id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM s) SELECT query_id, rank, id, score FROM r WHERE rank <= 10""",
+)
+def _(spark: SparkSession, d: str) -> DataFrame:
+    cases = table(spark, d, "evaluation_items").select(F.col("evaluation_item_id").alias("query_id"), F.col("query_text").alias("query"))
+    return lexical.batch_search(table(spark, d, "documents"), cases, 10)

@@ -262,3 +262,13 @@ def test_near_duplicates_against_brute_force(spark, smoke_dir):
     assert all(got[k].class_id == got[distinct[t]].class_id for k, t in texts.items())
     linked = {x for p in want for x in p}
     assert all(got[k].class_id == k or k in linked for k in sets)
+
+
+def test_batch_search_equals_single(spark):
+    d = spark.createDataFrame([(1, "a b c"), (2, "a a c d"), (3, "e"), (4, None), (5, "")], "doc_id long, text string")
+    cases = spark.createDataFrame([("x", "a c"), ("y", "e"), ("z", "nothing"), ("n", None)], "query_id string, query string")
+    got = lexical.batch_search(d, cases).orderBy("query_id", "rank").collect()
+    one = lexical.search(d, lexical.Request("a c")).collect()
+    assert [(r.id, r.score) for r in got if r.query_id == "x"] == [(r.id, round(r.score, 6)) for r in one] and {r.query_id for r in got} == {"x", "y"}
+    best = lexical.calibrate(d, cases, spark.createDataFrame([("x", 2), ("y", 3)], "query_id string, id long"), [(1.2, 0.75), (0.1, 0.0)])
+    assert best.count() == 2 and lexical.fleeting_vowel("рынок") == "рынка" and lexical.fleeting_vowel("дом") is None
