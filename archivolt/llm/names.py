@@ -95,7 +95,8 @@ def _near(word: str, table, kind: int, least: int = 5):
     if kept == 0:
         limit = 3 if len(word) >= 8 and len(table) < 400 and kind != 1 else 2 if len(word) >= 7 else 1
         swaps = {word[:i] + word[i + 1] + word[i] + word[i + 2 :] for i in range(len(word) - 1)}
-        near = [(distance(word, k), k) for k in table if len(k) >= least and abs(len(k) - len(word)) <= limit and (len(k) > 7 or limit < 3) and (k[0] == word[0] or k[-1] == word[-1])]
+        near = [(distance(word, k), k) for k in table if len(k) >= least and abs(len(k) - len(word)) <= limit and (k[0] == word[0] or k[-1] == word[-1])]
+        near = [(n, k) for n, k in near if n <= (3 if len(k) > 7 else 2 if len(k) > 5 else 1)]
         near += [(1, k) for k in swaps if k in table]
         near = [n for n in near if n[0] <= limit]
         kept = min(near)[1] if near else None
@@ -114,6 +115,12 @@ def _misspelt(word: str, line: str) -> bool:
     return False
 
 
+def _slipped(words: list[str]) -> str:
+    """The line of business that a word other than the longest misspells, if any."""
+    longest = max(words, key=len, default="")
+    return next((k for k in BUSINESS for w in words if w != longest and len(w) > 1 and w not in _LEGAL and _misspelt(w, k)), "")
+
+
 def parse(text: str) -> tuple[str, str, str, str]:
     """(kind, core, first, second): for a firm its core and line of business; for a person surname, given name or initial, second initial."""
     t = re.sub(r"\bg-(?:n|zha)\b\.?", " ", latin(text)).replace("'", "").replace("’", "")
@@ -127,7 +134,7 @@ def parse(text: str) -> tuple[str, str, str, str]:
     if legal and not lines and all(w in ("ao", "ag", "kg") for w in legal) and any(_legal(d) for d in dotted):
         legal = []  # initials, such as A. O.
     if lines or legal:
-        line = max(sorted(set(lines)), key=lines.count) if lines else next((k for k in BUSINESS for w in words if len(w) == 3 and w not in _LEGAL and any(len(v) == 3 and sorted(v) == sorted(w) for v in BUSINESS[k].split())), "")
+        line = max(sorted(set(lines)), key=lines.count) if lines else _slipped(words)
         core = [w for b, w in zip(business, words) if not (b and (w not in _WEAK or line)) and not _near(w, _LEGAL, 1, 7) and len(w) > 1]
         if line and len(core) > 1:
             core = [w for w in core if not _misspelt(w, line)] or core
@@ -147,6 +154,8 @@ def parse(text: str) -> tuple[str, str, str, str]:
             given.append(_GIVEN.get(g, g))
         else:
             surname.append(w)
+    if not given and len(surname) > 1 and (line := _slipped(surname)):
+        return "firm", "".join(w for w in surname if not _misspelt(w, line)), line, ""
     if not surname and given:
         long = max(given, key=len)
         given.remove(long)
