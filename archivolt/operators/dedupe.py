@@ -1,12 +1,13 @@
 """Duplicate grouping: exact, normalised and near duplicates, editions, and the suppression overlay.
 
-Copies collapse before anything is compared, so a hot text is one row. Near duplicates are found by MinHash bands over word
-shingles and proved by the exact Jaccard of their shingle sets. A band's bucket never expands into all its pairs: everyone meets
-the bucket's smallest member, and only those unlike it meet the rest.
+Copies collapse before anything is compared, so a hot text is one row. Near duplicates are all pairs of texts whose shingle sets
+have at least the stated Jaccard: texts are posted under their rarest shingles only, as many as a similar text cannot miss, and
+those that meet there are proved by their whole sets. MinHash sketches serve as compact signatures.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,11 +21,15 @@ from archivolt.operators.components import connected_components
 from archivolt.session import cut
 
 _GOLDEN, _MIX = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
+#: Bits of the buckets in which holders of shingles are counted, and buckets of a row of counts.
+_BUCKET_BITS, _BLOCK = 20, 4096
 
 
 @dataclass(frozen=True)
 class DedupePolicy:
-    """Words of a shingle, registers, rows of a band, least similarity of duplicates and of editions, least shingles."""
+    """Words of a shingle, registers, rows of a band, least similarity of duplicates and of editions, least shingles of a sketch.
+
+    Registers, rows and least shingles are of sketches; near_links needs none of them."""
 
     shingle: int = 5
     registers: int = 125
@@ -84,31 +89,66 @@ def exact_edges(df: DataFrame, key: Column, identity: str) -> DataFrame:
     return keyed.join(lead, "k").where("id <> left").select("left", F.col("id").alias("right"))
 
 
+def _bucket(grams: np.ndarray) -> np.ndarray:
+    return (grams.view(np.uint64) >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)
+
+
+def _holders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    n = np.zeros(1 << _BUCKET_BITS, np.int64)
+    for pdf in batches:
+        for lo in range(0, len(pdf), 2000):
+            n += np.bincount(_bucket(np.concatenate(pdf["grams"].iloc[lo : lo + 2000].tolist()).astype(np.int64)), minlength=len(n))
+    parts = n.reshape(-1, _BLOCK)
+    seen = np.flatnonzero(parts.any(1))
+    yield pd.DataFrame({"block": seen, "n": [parts[k].tobytes() for k in seen]})
+
+
+def _added(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"block": pdf["block"].iloc[:1], "n": [np.sum([np.frombuffer(x, np.int64) for x in pdf["n"]], axis=0).tobytes()]})
+
+
+def _posted(shared, least: float):
+    """(id, size, gram, place): the rarest shingles of each text that a text of that similarity must share one of."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = shared.value
+        for pdf in batches:
+            for lo in range(0, len(pdf), 2000):
+                grams, size, place = [], [], []
+                for g in pdf["grams"].iloc[lo : lo + 2000]:
+                    g = np.asarray(g, np.int64)
+                    n = held[_bucket(g)]
+                    order = np.lexsort((g, n))[: len(g) - int(np.ceil(least * len(g) - 1e-9)) + 1]
+                    at = np.flatnonzero(n[order] > 1)  # no other text holds the rest
+                    grams.append(g[order[at]])
+                    place.append(at)
+                    size.append(len(g))
+                many = [len(x) for x in grams]
+                yield pd.DataFrame({"id": np.repeat(pdf["id"].to_numpy()[lo : lo + 2000], many), "size": np.repeat(size, many), "gram": np.concatenate(grams), "place": np.concatenate(place)})
+
+    return run
+
+
 def near_links(distinct: DataFrame, policy: DedupePolicy = DedupePolicy(), least: float | None = None) -> DataFrame:
-    """(left, right, score): proved links between different texts, enough to connect every similar pair's class.
+    """(left, right, score): every pair of different texts whose shingle sets have at least that Jaccard, with the Jaccard.
 
-    distinct has `id` and `grams` (array<bigint> of hashed shingles). No candidate is capped: a bucket's members meet its smallest
-    one; those whose exact similarity to it falls short meet every member of the bucket."""
+    distinct has `id` and `grams` (array<bigint> of different hashed shingles). Shingles are ordered by how many texts hold their
+    bucket, then by hash; similar texts share one among their first few, and from the first one shared on enough must follow."""
     least = policy.similarity if least is None else least
-    base = cut(distinct.where(F.size("grams") >= policy.min_shingles).select("id", "grams", signature("grams", policy.registers).alias("sig")))
-    bands = policy.registers // policy.rows
-    band = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(F.slice("sig", b * policy.rows + 1, policy.rows))))
-    keys = base.select("id", band.alias("band", "value")).select("id", F.xxhash64("band", "value").alias("bucket"))
-    hubs = keys.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    member = keys.join(hubs, "bucket").where("id <> hub")
-    sketches = base.select("id", "grams")
-
-    def proved(pairs: DataFrame) -> DataFrame:
-        p = pairs.distinct().join(sketches.select(F.col("id").alias("left"), F.col("grams").alias("a")), "left")
-        p = p.join(sketches.select(F.col("id").alias("right"), F.col("grams").alias("b")), "right")
-        return p.select("left", "right", jaccard(F.col("a"), F.col("b")).alias("score"))
-
-    first = cut(proved(member.select(F.col("hub").alias("left"), F.col("id").alias("right"))))
-    unlike = first.where(F.col("score") < least).select(F.col("left").alias("hub"), F.col("right").alias("id"))
-    rest = member.join(unlike, ["hub", "id"], "left_semi").select("bucket", F.col("id").alias("x"))
-    others = rest.join(member.select("bucket", F.col("id").alias("y")), "bucket").where("x <> y")
-    second = proved(others.select(F.least("x", "y").alias("left"), F.greatest("x", "y").alias("right")))
-    return first.unionByName(second).where(F.col("score") >= least).dropDuplicates(["left", "right"])
+    base = cut(distinct.where(F.size("grams") > 0).select("id", "grams"))
+    held = np.zeros(((1 << _BUCKET_BITS) // _BLOCK, _BLOCK), np.int64)
+    for r in base.select("grams").mapInPandas(_holders, "block int, n binary").groupBy("block").applyInPandas(_added, "block int, n binary").toLocalIterator():  # a table of fixed size
+        held[r.block] = np.frombuffer(r.n, np.int64)
+    shared = base.sparkSession.sparkContext.broadcast(held.ravel())
+    posted = cut(base.mapInPandas(_posted(shared, least), f"id {dict(base.dtypes)['id']}, size int, gram long, place int"))
+    x = posted.select("gram", F.col("id").alias("left"), F.col("size").alias("m"), F.col("place").alias("i"))
+    y = posted.select("gram", F.col("id").alias("right"), F.col("size").alias("n"), F.col("place").alias("j"))
+    common = F.least(F.col("m") - F.col("i"), F.col("n") - F.col("j"))  # at most, if this is the first shingle shared
+    meet = x.join(y, "gram").where((F.col("left") < F.col("right")) & (common >= least / (1 + least) * (F.col("m") + F.col("n")) - 1e-6))
+    p = meet.select("left", "right").distinct()
+    p = p.join(base.select(F.col("id").alias("left"), F.col("grams").alias("a")), "left")
+    p = p.join(base.select(F.col("id").alias("right"), F.col("grams").alias("b")), "right")
+    return p.select("left", "right", jaccard(F.col("a"), F.col("b")).alias("score")).where(F.col("score") >= least)
 
 
 def near_duplicates(df: DataFrame, identity: str = "doc_id", text: str = "text", policy: DedupePolicy = DedupePolicy()) -> DataFrame:

@@ -272,3 +272,20 @@ def test_batch_search_equals_single(spark):
     assert [(r.id, r.score) for r in got if r.query_id == "x"] == [(r.id, round(r.score, 6)) for r in one] and {r.query_id for r in got} == {"x", "y"}
     best = lexical.calibrate(d, cases, spark.createDataFrame([("x", 2), ("y", 3)], "query_id string, id long"), [(1.2, 0.75), (0.1, 0.0)])
     assert best.count() == 2 and lexical.fleeting_vowel("рынок") == "рынка" and lexical.fleeting_vowel("дом") is None
+
+
+def test_near_links_against_brute_force(spark):
+    # two texts that resemble the smallest id by half and each other much more; few shingles; a large cluster
+    def cluster(base, tag, other):
+        return [base, base[:20] + [f"{tag}{i}" for i in range(8)], base[:20] + [f"{tag}{i}" for i in range(7)] + [other]]
+
+    sets = {}
+    for c in range(3):
+        for k, grams in enumerate(cluster([f"{c}w{i}" for i in range(28)], f"{c}x", f"{c}y")):
+            sets[10 * c + k] = grams
+    sets |= {100 + k: [f"big{i}" for i in range(30) if i % 15 != k] for k in range(15)} | {200: ["s"], 201: ["s"], 202: ["s", "t"], 203: list("stuvw"), 204: list("stuv")}
+    df = spark.createDataFrame(list(sets.items()), "id long, g array<string>").select("id", F.transform("g", lambda g: F.xxhash64(g)).alias("grams"))
+    for least in (0.8, 0.45):
+        want = {(a, b): len(set(x) & set(y)) / len(set(x) | set(y)) for a, x in sets.items() for b, y in sets.items() if a < b}
+        want = {p: round(s, 9) for p, s in want.items() if s >= least}
+        assert {(r.left, r.right): round(r.score, 9) for r in dedupe.near_links(df, least=least).collect()} == want
