@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import math
 import random
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from archivolt.session import cut
+
 
 def ratio(a: Column, b: Column) -> Column:
     """a / b, 0 where b is 0."""
@@ -106,8 +111,17 @@ def path_score(gold: Column, predicted: Column) -> Column:
 
 def sign_test(wins: int, losses: int) -> float:
     """Two-sided exact binomial tail, at most 1."""
-    n = wins + losses
-    return 1.0 if not n else min(1.0, 2 * sum(math.comb(n, i) for i in range(min(wins, losses) + 1)) / 2**n)
+    n, k = wins + losses, min(wins, losses)
+    if n <= 1000:
+        return 1.0 if not n else min(1.0, 2 * sum(math.comb(n, i) for i in range(k + 1)) / 2**n)
+    # the tail from its largest term down, each a fraction of the one before, until they no longer count
+    share, term = 0.0, 1.0
+    while term > 1e-18 * share:
+        share += term
+        term *= k / (n - k + 1)
+        k -= 1
+    k = min(wins, losses)
+    return min(1.0, 2 * share * math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) - n * math.log(2)))
 
 
 def bootstrap(differences: list[float], resamples: int = 2000, confidence: float = 0.95, seed: int = 13) -> tuple[float, float]:
@@ -118,11 +132,48 @@ def bootstrap(differences: list[float], resamples: int = 2000, confidence: float
     return means[round(tail * (resamples - 1))], means[round((1 - tail) * (resamples - 1))]
 
 
+#: Up to so many cases are resampled on the driver, one by one.
+_FEW = 1000
+
+
+def _poisson_sums(resamples: int, seed: int):
+    """(resample, total, cases): one partition's part of every resample, in which n equal differences count a Poisson(n) number of times."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, cases = np.zeros(resamples), np.zeros(resamples, np.int64)
+        for pdf in batches:
+            for d, n, key in zip(pdf["d"], pdf["n"], pdf["key"]):
+                drawn = np.random.default_rng([seed, key & 0xFFFFFFFFFFFFFFFF]).poisson(n, resamples)
+                total += d * drawn
+                cases += drawn
+        yield pd.DataFrame({"resample": np.arange(resamples), "total": total, "cases": cases})
+
+    return run
+
+
+def poisson_bootstrap(differences: DataFrame, resamples: int = 2000, confidence: float = 0.95, seed: int = 13) -> tuple[float, float]:
+    """The interval of bootstrap for any number of cases: differences has (d, n), each d once; only the resamples reach the driver.
+
+    Draws are seeded by the difference itself, so they don't depend on the partitions."""
+    part = differences.select("d", "n", F.xxhash64("d").alias("key")).mapInPandas(_poisson_sums(resamples, seed), "resample int, total double, cases long")
+    sums = part.groupBy("resample").agg(F.sum("total").alias("total"), F.sum("cases").alias("cases")).where("cases > 0").collect()
+    means = sorted(r.total / r.cases for r in sums)
+    tail = (1 - confidence) / 2
+    return means[round(tail * (len(means) - 1))], means[round((1 - tail) * (len(means) - 1))]
+
+
 def paired_verdict(pairs: DataFrame, resamples: int = 2000, seed: int = 13) -> dict:
-    """adopt, retain or inconclusive for (candidate, baseline) scores per case: cases are a held-out set of bounded size."""
-    d = [r.candidate - r.baseline for r in pairs.select("candidate", "baseline").dropna().orderBy("candidate", "baseline").collect()]
-    wins, losses = sum(x > 0 for x in d), sum(x < 0 for x in d)
-    low, high = bootstrap(d, resamples, seed=seed) if d else (0.0, 0.0)
+    """adopt, retain or inconclusive for (candidate, baseline) scores per case, over all cases.
+
+    Wins and losses are aggregates; a few cases are resampled on the driver, more by a distributed Poisson bootstrap."""
+    spread = cut(pairs.select("candidate", "baseline").dropna().groupBy((F.col("candidate") - F.col("baseline")).alias("d")).agg(F.count("*").alias("n")))
+    total = spread.agg(F.sum("n").alias("n"), F.sum(F.when(F.col("d") > 0, F.col("n"))).alias("wins"), F.sum(F.when(F.col("d") < 0, F.col("n"))).alias("losses")).first()
+    n, wins, losses = total.n or 0, total.wins or 0, total.losses or 0
+    if n > _FEW:
+        low, high = poisson_bootstrap(spread, resamples, seed=seed)
+    else:
+        d = [r.candidate - r.baseline for r in pairs.select("candidate", "baseline").dropna().orderBy("candidate", "baseline").collect()]
+        low, high = bootstrap(d, resamples, seed=seed) if d else (0.0, 0.0)
     p = sign_test(wins, losses)
     verdict = "adopt" if low > 0 and p < 0.05 else "retain" if high < 0 and p < 0.05 else "inconclusive"
-    return {"wins": wins, "losses": losses, "ties": len(d) - wins - losses, "p": p, "low": low, "high": high, "verdict": verdict}
+    return {"wins": wins, "losses": losses, "ties": n - wins - losses, "p": p, "low": low, "high": high, "verdict": verdict}

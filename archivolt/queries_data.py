@@ -297,8 +297,8 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 
 @query("paired_verdict")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    v = metrics.paired_verdict(table(spark, d, "events").where("event_id % 100 = 0").select(F.col("value").alias("candidate"), (F.col("value") * 0.98).alias("baseline")))
-    return spark.createDataFrame([tuple(v.values())], "wins int, losses int, ties int, p double, low double, high double, verdict string")
+    v = metrics.paired_verdict(table(spark, d, "events").select(F.col("value").alias("candidate"), (F.col("value") * 0.98).alias("baseline")))
+    return spark.createDataFrame([tuple(v.values())], "wins long, losses long, ties long, p double, low double, high double, verdict string")
 
 
 @query("stratified_split", "WITH r AS (SELECT doc_id, class_id, (row_number() OVER (PARTITION BY class_id ORDER BY sha256('split:' || doc_id), doc_id) - 0.5) / count(*) OVER (PARTITION BY class_id) AS pos FROM subject_labels) SELECT doc_id, class_id, CASE WHEN pos < 0.6 THEN 'train' WHEN pos < 0.8 THEN 'dev' ELSE 'test' END AS split FROM r")

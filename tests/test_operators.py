@@ -289,3 +289,20 @@ def test_near_links_against_brute_force(spark):
         want = {(a, b): len(set(x) & set(y)) / len(set(x) | set(y)) for a, x in sets.items() for b, y in sets.items() if a < b}
         want = {p: round(s, 9) for p, s in want.items() if s >= least}
         assert {(r.left, r.right): round(r.score, 9) for r in dedupe.near_links(df, least=least).collect()} == want
+
+
+def test_paired_verdict_takes_every_case(spark, smoke_dir):
+    from archivolt import queries as q
+
+    events = spark.read.parquet(f"{smoke_dir}/events.parquet").where("value is not null")
+    got = q.queries()["paired_verdict"](spark, smoke_dir).first()
+    assert got.wins + got.losses + got.ties == events.count()
+    # many cases: the interval of the normal law, however they are partitioned
+    pairs = spark.range(4000).select((F.col("id") % 7).cast("double").alias("candidate"), F.lit(2.9).alias("baseline"))
+    v, w = metrics.paired_verdict(pairs), metrics.paired_verdict(pairs.repartition(7))
+    assert v["wins"] + v["losses"] == 4000 and abs(v["low"] - w["low"]) < 1e-9
+    mean, error = sum(k % 7 - 2.9 for k in range(4000)) / 4000, 2.0 / 4000**0.5
+    assert abs(v["low"] - (mean - 1.96 * error)) < 0.2 * error and abs(v["high"] - (mean + 1.96 * error)) < 0.2 * error
+    import math
+
+    assert math.isclose(metrics.sign_test(560, 480), 2 * sum(math.comb(1040, i) for i in range(481)) / 2**1040, rel_tol=1e-9)
