@@ -47,6 +47,19 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return scores.reciprocal_links(ranked, 4)
 
 
+_NN_ALL = """
+WITH r AS (SELECT q.vec_id AS query_id, e.vec_id AS id, round(list_distance(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 6) AS distance FROM embeddings q, embeddings e),
+n AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM r)"""
+
+
+@query("reciprocal_links_all", _NN_ALL + ' SELECT a.query_id AS "left", a.id AS "right" FROM n a JOIN n b ON a.query_id = b.id AND a.id = b.query_id WHERE a.rank <= 4 AND b.rank <= 4 AND a.query_id < a.id')
+def _(spark: SparkSession, d: str) -> DataFrame:
+    """Both ranks are among all rows, every row being a query; reciprocal_links ranks inside a fiftieth of the table, as its SQL does."""
+    e = table(spark, d, "embeddings")
+    ranked = vector.nearest_of_queries(e, e.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query")), 4)
+    return scores.reciprocal_links(ranked, 4)
+
+
 @query("edition_links")
 def _(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").where("text is not null")

@@ -306,3 +306,14 @@ def test_paired_verdict_takes_every_case(spark, smoke_dir):
     import math
 
     assert math.isclose(metrics.sign_test(560, 480), 2 * sum(math.comb(1040, i) for i in range(481)) / 2**1040, rel_tol=1e-9)
+
+
+def test_reciprocal_links_rank_among_all_rows(spark, smoke_dir):
+    import numpy as np
+
+    from archivolt import queries as q
+
+    e = {r.vec_id: np.array(r.embedding, float) for r in spark.read.parquet(f"{smoke_dir}/embeddings.parquet").collect()}
+    first = {a: sorted(e, key=lambda b: (round(float(np.linalg.norm(e[a] - e[b])), 6), b))[:4] for a in e}
+    want = {(a, b) for a in e for b in first[a] if a < b and a in first[b]}
+    assert {(r.left, r.right) for r in q.queries()["reciprocal_links_all"](spark, smoke_dir).collect()} == want
