@@ -27,11 +27,9 @@ from archivolt.session import cut
 #: Buckets of hashed words, latent axes, words of half a passage, rounds of the SVD, and the bound of its sample of passages.
 BUCKETS, AXES, HALF, ROUNDS, SAMPLE = 1 << 15, 64, 16, 3, 40_000
 #: Least cosine of a candidate; a word is rare if at most this share of documents holds it; least rare words in common.
-COSINE, RARE_SHARE, RARE_COMMON = 0.8, 0.04, 3
+COSINE, RARE_SHARE, RARE_COMMON = 0.6, 0.04, 3
 #: A run must cover this share of the item; between matches a differing word costs MISS, each further word of the page in between SKIP.
 SHARE, MISS, SKIP = 1 / 3, 3.0, 0.15
-#: Width of the band of diagonals, and the share of the needed words that must be rare ones in step there.
-BAND, IN_STEP = 19, 0.12
 SEED = 7
 _SIGNATURE = 8  # words of 64 bits
 
@@ -199,9 +197,6 @@ class Matcher:
     def _prove(self, doc: np.ndarray, item: int, places: list[int], source) -> tuple[float, int, int] | None:
         """The longest dense run of the item's words around any of the candidate places, if it covers SHARE of the item."""
         words = self.words[item]
-        need = SHARE * len(words)
-        rare_at = np.flatnonzero(self.rare[_bucket(words)])
-        rare = words[rare_at]
         best = None
         done_to = -1
         for place in places:
@@ -209,14 +204,6 @@ class Matcher:
                 continue
             lo, hi = max(0, place - len(words)), min(len(doc), place + 2 * HALF + len(words))
             region = doc[lo:hi]
-            # a passage keeps most of its rare words in step: on neighbouring diagonals
-            i, j = np.nonzero(rare[:, None] == region[None, :])
-            if not len(i):
-                continue
-            steps = np.bincount(j - rare_at[i] + len(words), minlength=len(words) + len(region) + 1)
-            band = np.cumsum(np.append(0, steps))
-            if (band[BAND:] - band[:-BAND]).max(initial=0) < 1 + IN_STEP * need:
-                continue
             found = self._run(region, words, item, source, lo)
             if found is not None and (best is None or found[0] > best[0]):
                 best = found

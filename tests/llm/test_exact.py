@@ -131,3 +131,19 @@ def test_packing(spark, archive):
             rooms.remove(min(fits))
         rooms.append((min(fits) if fits else 1000) - n)
     assert len(rooms) <= packing.pack(docs, p).where("profile_id = 'l'").select("container_id").distinct().count() <= len(rooms) + 1
+
+
+def test_leaks_find_a_third_of_an_item_in_foreign_text():
+    import numpy as np
+
+    from archivolt.functions import wordhash
+    from archivolt.llm import leaks
+
+    item = [f"item{k}" for k in range(60)]
+    page = [f"page{k}" for k in range(64)]
+    text = " ".join(page[:32] + item[:20] + page[32:])
+    h = np.unique(wordhash.words([" ".join(item + page)])[0])
+    v = np.zeros((leaks.BUCKETS, len(h)), np.float32)  # each word an axis, so a third of the item has cosine 20 / 32 at most
+    v[leaks._bucket(h), np.arange(len(h))] = 1
+    matcher = leaks.Matcher([("i", " ".join(item))], np.ones(leaks.BUCKETS, np.float32), v, np.ones(leaks.BUCKETS, np.int64), 100)
+    assert [(t, i) for t, i, *_ in matcher.search([text, " ".join(page)])] == [(0, 0)]
