@@ -295,6 +295,24 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return e.select(F.col("src").alias("vertex")).distinct()
 
 
+def _doubling_all(spark: SparkSession, d: str) -> DataFrame:
+    """Each part leads to two others, numbers taken modulo one more than the greatest: every part is a vertex of its own."""
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("src"))
+    n = (p.agg(F.max("src")).first()[0] or 0) + 1
+    return p.select("src", (F.col("src") * 2 % n).alias("dst")).union(p.select("src", (F.col("src") * 3 % n).alias("dst"))).distinct()
+
+
+# the whole graphs, without SQL: a recursion over all walks is too slow; closure_reachability and cycle_core stay on the vertices of their SQL
+@query("closure_reachability_all")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    return graph.reachable(_doubling_all(spark, d), spark.createDataFrame([(5,)], "id long"))
+
+
+@query("cycle_core_all")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    return graph.cycle_core(_doubling_all(spark, d)).select(F.col("src").alias("vertex")).distinct()
+
+
 @query("pagerank")
 def _(spark: SparkSession, d: str) -> DataFrame:
     return graph.pagerank(_hierarchy(spark, d), 10).select("id", F.round("rank", 9).alias("rank"))

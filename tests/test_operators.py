@@ -317,3 +317,29 @@ def test_reciprocal_links_rank_among_all_rows(spark, smoke_dir):
     first = {a: sorted(e, key=lambda b: (round(float(np.linalg.norm(e[a] - e[b])), 6), b))[:4] for a in e}
     want = {(a, b) for a in e for b in first[a] if a < b and a in first[b]}
     assert {(r.left, r.right) for r in q.queries()["reciprocal_links_all"](spark, smoke_dir).collect()} == want
+
+
+def test_whole_graphs_against_brute_force(spark, tmp_path):
+    from archivolt import queries as q
+
+    keys = [k for k in range(1, 1301) if k % 5]
+    spark.createDataFrame([(k,) for k in keys], "p_partkey long").write.parquet(str(tmp_path / "part.parquet"))
+    edges = {(k, k * m % 1300) for k in keys for m in (2, 3)}
+    seen, todo = {5}, [5]
+    out: dict = {}
+    for a, b in edges:
+        out.setdefault(a, []).append(b)
+    while todo:
+        new = [b for b in out.get(todo.pop(), []) if b not in seen]
+        seen.update(new)
+        todo += new
+    assert {r.id for r in q.queries()["closure_reachability_all"](spark, str(tmp_path)).collect()} == seen
+    core = edges
+    while True:
+        heads, tails = {y for _, y in core}, {x for x, _ in core}
+        left = {(a, b) for a, b in core if a in heads and b in tails}
+        if left == core:
+            break
+        core = left
+    got = {r.vertex for r in q.queries()["cycle_core_all"](spark, str(tmp_path)).collect()}
+    assert got == {a for a, _ in core} and max(got) > 1009
