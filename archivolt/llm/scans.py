@@ -1,7 +1,8 @@
 """Problem 7: traces of the page in text from scanned documents.
 
 Method: words outside the vocabulary meet every vocabulary word within reach of a Levenshtein automaton, found by running
-the automaton over a trie of the vocabulary: one edit of any kind, or up to three of the shape confusions of scanning.
+the automaton over a trie of the vocabulary. It also walks one edit of any kind, but only readings by up to three of the
+shape confusions of scanning are kept: a misreading outside CONFUSIONS is not found.
 Candidates are ranked by the cost of their confusions, then by context (does the same text hold the word elsewhere?) and
 frequency. Then page furniture (page numbers, running headers) is removed, broken words are joined and lines reflowed.
 
