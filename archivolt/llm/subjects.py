@@ -302,15 +302,30 @@ def subjects(documents: DataFrame, labels: DataFrame, items: DataFrame, taxonomy
     return bags.mapInPandas(_assign(shared), "doc_id long, class_id string, paragraphs int, share double")
 
 
+def _spelt(wanted: np.ndarray):
+    """(hash, term, n): how the wanted words are written, counted in each partition."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: Counter = Counter()
+        for pdf in batches:
+            texts = pdf["text"].tolist()
+            for lo, hi in codepoints.slices(texts):
+                part = texts[lo:hi]
+                h, owner, a, b = wordhash.words(part)
+                at = np.flatnonzero(_index(wanted, h) >= 0)
+                seen.update((int(h[k]), part[owner[k]][a[k] : b[k]].lower()) for k in at)
+        yield pd.DataFrame({"h": np.array([h for h, _ in seen], np.uint64).view(np.int64), "term": [w for _, w in seen], "n": list(seen.values())})
+
+    return run
+
+
 def top_terms(documents: DataFrame, labels: DataFrame, items: DataFrame, taxonomy: DataFrame, top: int = 20) -> DataFrame:
     """(topic, class_id, rank, term, weight): each topic's top terms and the subject they map it to, for inspection."""
     model, _ = fit(documents, labels, items, taxonomy)
-    texts = [r.text for r in labelled(documents, labels, items, model.classes).select("text").limit(2000).collect()]
-    seen: Counter = Counter()
-    for t in texts:
-        h, _, a, b = wordhash.words([t])
-        seen.update(zip(h.tolist(), (t[x:y].lower() for x, y in zip(a, b))))
-    name = {h: w for (h, w), _ in reversed(seen.most_common())}
+    wanted = np.unique(model.vocab[np.argsort(-model.phi, axis=0)[:top]])
+    spelt = documents.where("length(text) > 0").select("text").mapInPandas(_spelt(wanted), "h long, term string, n long").groupBy("h", "term").agg(F.sum("n").alias("n"))
+    best = spelt.groupBy("h").agg(F.min_by("term", F.struct(-F.col("n"), F.col("term"))).alias("term")).collect()  # topics times top at most
+    name = {int(np.int64(r.h).view(np.uint64)): r.term for r in best}
     rows = []
     for t in range(model.phi.shape[1]):
         for rank, w in enumerate(np.argsort(-model.phi[:, t])[:top], 1):

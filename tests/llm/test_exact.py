@@ -147,3 +147,16 @@ def test_leaks_find_a_third_of_an_item_in_foreign_text():
     v[leaks._bucket(h), np.arange(len(h))] = 1
     matcher = leaks.Matcher([("i", " ".join(item))], np.ones(leaks.BUCKETS, np.float32), v, np.ones(leaks.BUCKETS, np.int64), 100)
     assert [(t, i) for t, i, *_ in matcher.search([text, " ".join(page)])] == [(0, 0)]
+
+
+def test_top_terms_are_spelt_from_all_texts():
+    import numpy as np
+    import pandas as pd
+
+    from archivolt.functions import wordhash
+    from archivolt.llm import subjects
+
+    texts = [f"filler{k} words" for k in range(2500)] + ["Only here: Läuse, läuse"]
+    wanted = np.unique(wordhash.words(["läuse words"])[0])
+    got = pd.concat(subjects._spelt(wanted)(iter([pd.DataFrame({"text": texts})])))
+    assert dict(zip(got["term"], got["n"])) == {"läuse": 2, "words": 2500}
