@@ -1,26 +1,31 @@
 """Problem 3: variant spellings of the same person or organisation.
 
-Method: metric-space partitioning. Names are parsed into parts; the distinctive part (surname, or core of a firm's name) is
-compared by a true edit metric. Cells are rings around the first pivot, the empty name, whose distance is the length; by the
-triangle inequality a name within the radius of a ring's border is also copied to the ring below, so no pair is lost.
+Method: metric-space partitioning. A name is a bag of words. Which of them are common property (given names, lines of
+business, their abbreviations) and which are distinctive is told by the archive's own statistics: a common word stands beside
+many different rarer words, now before and now after them. The distinctive words, joined, are the core, compared by a true
+edit metric. Cells are rings around the first pivot, the empty name, whose distance is the length; by the triangle inequality
+a name within the radius of a ring's border is also copied to the ring below, so no pair is lost.
 Inside a cell lower bounds of the distance rule pairs out: common letters, and the distances to further pivots by the same
 inequality; the rest get their exact distance.
 Crowded cells are split into blocks that meet pairwise. (Rings around further pivots would copy more than they separate:
 edit distances of unrelated names crowd together, see the README.)
 
-Linked parts form clusters; inside a cluster the other parts decide: given names with their short forms, initials, second
-names for people; the line of business for firms. So relatives and sister firms stay apart.
+Linked cores form clusters; inside a cluster the common words decide: given names and initials for people, the line of
+business for firms. So relatives and sister firms stay apart. Short forms (Liz, Mfg., Hans) are learned: they keep company
+with the same cores as the long form, but don't stand beside it in one name. A few more may be given as a parameter.
 
 Defined cases: null and empty names are entities of their own; equal names are compared once, whatever their number; an
-initial that fits several relatives goes to the one that shares its second name, else to the most frequent.
+initial that fits several relatives goes to the one that shares its second name, else to the most frequent; a name all of
+whose words are common has the rarest of them as its core; in an archive too small for statistics every word is distinctive.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -39,30 +44,20 @@ LATIN = {
     "к": "k", "л": "l", "м": "m", "н": "n", "о": "o", "п": "p", "р": "r", "с": "s", "т": "t", "у": "u", "ф": "f", "х": "kh", "ц": "ts", "ч": "ch",
     "ш": "sh", "щ": "shch", "ъ": "", "ы": "y", "ь": "", "э": "e", "ю": "yu", "я": "ya",
 }
-#: Given names with their usual short forms and other spellings.
-GIVEN = {
-    "alexander": "alex aleksandr sasha shura sascha", "charlotte": "lotte lottie charly", "elizabeth": "liz betty beth lisa elisabeth eliza liza lizzie", "friedrich": "fritz fred",
-    "gunther": "gunni gunter", "jurgen": "jogi", "johannes": "jo hans hannes johann", "katherine": "kate kathy katie kat", "margaret": "peggy maggie meg", "michael": "mike mick micha",
-    "nicholas": "nick nicky klaus", "robert": "bob rob bobby", "sebastian": "basti bastian seb", "theodora": "dora thea theo teddy", "victoria": "vicky vicki tori", "wilhelmine": "minna mina wilma",
-    "william": "bill will billy willy", "zacharias": "zack zach", "pavel": "pasha", "mikhail": "misha", "tatyana": "tanya", "fedor": "fedya", "ivan": "vanya", "vladimir": "vova volodya",
-    "oksana": "ksenya ksyusha", "natalya": "natasha", "elizaveta": "liza", "grigorii": "grisha grigorij", "ekaterina": "katya", "sergei": "serezha", "dmitrii": "dima mitya",
-    "yurii": "yura", "andrei": "andryusha", "oleg": "", "igor": "", "anna": "anya", "maria": "masha", "olga": "olya", "nikolai": "kolya", "petr": "petya", "boris": "borya",
-    "thomas": "tom", "james": "jim jimmy", "richard": "dick rick", "edward": "ed ted", "george": "", "henry": "harry", "john": "jack", "joseph": "joe", "peter": "pete", "susan": "sue",
-}
-#: Titles and forms of address; legal forms; lines of business with their abbreviations.
-TITLES = "dr prof mr mrs ms herr frau ing inzh proph ph gn professor doktor inzhener dipl".split()
+#: Titles and forms of address; legal forms of companies; endings of Russian and Ukrainian patronymics.
+TITLES = "dr prof mr mrs ms herr frau ing inzh proph ph gn gzha professor doktor inzhener dipl".split()
 LEGAL = "ltd limited inc incorporated gmbh mbh ag aktiengesellschaft gesellschaft co kg und ooo ao zao oao pao llc plc corp company obshchestvo ogranichennoi ogranichennoy otvetstvennostyu aktsionernoe zakrytoe otkrytoe".split()
-BUSINESS = {
-    "trading": "international trading intl", "manufacturing": "manufacturing mfg", "supplies": "agricultural supplies agric", "engineering": "engineering eng", "transport": "transport transp transportnoe predpriyatie pr tie",
-    "brothers": "brothers bros", "insurance": "insurance ins", "laboratories": "laboratories labs", "verwaltung": "verwaltung verw", "technology": "technology tech",
-    "construction": "construction constr", "maschinenbau": "maschinenbau masch bau", "zavod": "mashinostroitelnyi mashinostroitelny zavod mashzavod", "dom": "torgovyi torgovy dom td",
-    "kompaniya": "stroitelnaya kompaniya stroikompaniya stroi", "institut": "proektnyi proektny institut proektn in", "obedinenie": "nauchno proizvodstvennoe obedinenie npo",
-}
-_GIVEN = {v: k for k, vs in GIVEN.items() for v in [*vs.split(), k]} | {k: k for k in GIVEN}
-_BUSINESS = {v: k for k, vs in BUSINESS.items() for v in vs.split()}
+PATRONYMIC = ("ovich", "evich", "ovna", "evna", "ichna")
+#: A common word has at least so many different rarer neighbours (told by their first and last letter), that share of its names,
+#: and stands on its rarer side of the neighbour in that share of them; the last line asks for no second side.
+COMMON = ((5, 0.55, 0.12), (6, 0.45, 0.12), (8, 0.25, 0.12), (16, 0.3, 0.0))
+#: Least share of all names of a common word, so that their number can't grow with the archive; share of names with a legal
+#: form that makes it a line of business.
+LEAST_SHARE, FIRM_SHARE = 1e-6, 0.25
+#: A short form shares at least so many clusters with its long form, that share of its own, and so many times what chance gives;
+#: first for short forms spelt from letters of the long one in order, then for any other.
+LEARNED = ((2, 0.25, 2.5), (3, 0.4, 4.0))
 _LEGAL, _TITLES = set(LEGAL), set(TITLES)
-#: Abbreviations too short to stand for a firm by themselves.
-_WEAK = {"in", "s", "co", "und", "pr", "tie", "ag", "ao", "bau", "stroi"}
 
 
 def latin(text: str) -> str:
@@ -82,97 +77,240 @@ def distance(a: str, b: str) -> int:
     return row[-1]
 
 
-_known: dict[tuple, str | None] = {}
+def tokens(text: str) -> list[tuple[str, str]]:
+    """(word, kind) of a name in order: 'legal' forms, 'title's, 'initial's, 'short' words that end in a stop, and other 'word's."""
+    t = re.sub(r"\bg-(n|zha)\b\.?", r"g\1", latin(text)).replace("'", "").replace("’", "")
+    out = []
+    for m in re.finditer(r"(?:[a-z]\.\s?){2,}(?![a-z])|[a-z]+\.?", t):
+        w = m[0]
+        letters = re.sub("[^a-z]", "", w)
+        if w.count(".") > 1:  # two letters may be initials as well as a legal form
+            out.append((letters, "legal" if len(letters) > 2 and letters in _LEGAL else "dotted"))
+        elif letters in _TITLES or len(letters) > 3 and _slip_of(letters, "title"):
+            out.append((letters, "title"))
+        elif len(letters) > 1 and (letters in _LEGAL or len(letters) > 6 and _slip_of(letters, "legal")):
+            out.append((letters, "legal"))
+        elif len(letters) == 1 or len(letters) == 2 and w.endswith(".") and letters in ("yu", "ya", "zh", "kh", "ts", "ch", "sh"):
+            out.append((letters, "initial"))
+        else:
+            out.append((letters, "short" if w.endswith(".") else "word"))
+    return out
 
 
-def _near(word: str, table, kind: int, least: int = 5):
-    """The table's key that the word is, or is within one or two edits of (adjacent letters swapped count as two)."""
-    if word in table:
-        return word
-    if len(word) < least:
-        return None
-    kept = _known.get((kind, least, word), 0)
-    if kept == 0:
-        limit = 3 if len(word) >= 8 and len(table) < 400 and kind != 1 else 2 if len(word) >= 7 else 1
-        swaps = {word[:i] + word[i + 1] + word[i] + word[i + 2 :] for i in range(len(word) - 1)}
-        near = [(distance(word, k), k) for k in table if len(k) >= least and abs(len(k) - len(word)) <= limit and (k[0] == word[0] or k[-1] == word[-1])]
-        near = [(n, k) for n, k in near if n <= (3 if len(k) > 7 else 2 if len(k) > 5 else 1)]
-        near += [(1, k) for k in swaps if k in table]
-        near = [n for n in near if n[0] <= limit]
-        kept = min(near)[1] if near else None
-        if len(_known) > 200_000:
-            _known.clear()
-        _known[(kind, least, word)] = kept
-    return kept
-
-
-def _misspelt(word: str, line: str) -> bool:
-    """Whether a word is a slip of one that belongs to the line of business; only asked of words beside others."""
-    for w in BUSINESS.get(line, "").split():
-        limit = 0 if len(w) < 3 else 1 if len(w) < 5 else 2 if len(w) < 9 else 4
-        if abs(len(w) - len(word)) <= limit and (distance(word, w) <= limit or len(w) < 5 and sorted(w) == sorted(word)):
-            return True
-    return False
-
-
-def _slipped(words: list[str]) -> str:
-    """The line of business that a word other than the longest misspells, if any."""
-    longest = max(words, key=len, default="")
-    return next((k for k in BUSINESS for w in words if w != longest and len(w) > 1 and w not in _LEGAL and _misspelt(w, k)), "")
-
-
-def parse(text: str) -> tuple[str, str, str, str]:
-    """(kind, core, first, second): for a firm its core and line of business; for a person surname, given name or initial, second initial."""
-    t = re.sub(r"\bg-(?:n|zha)\b\.?", " ", latin(text)).replace("'", "").replace("’", "")
-    # legal forms written with dots: g.m.b.h., a.g., o.o.o.
-    dotted = re.findall(r"\b(?:[a-z]\.\s?){2,}", t)
-    joined = re.sub(r"\b(?:[a-z]\.\s?){2,}", lambda m: f" {re.sub('[^a-z]', '', m[0])} " if _legal(m[0]) else m[0], t)
-    words = re.findall(r"[a-z]+", joined)
-    business = [_near(w, _BUSINESS, 0) for w in words]
-    lines = [_BUSINESS[b] for b, w in zip(business, words) if b and w not in _WEAK]
-    legal = [w for w in words if len(w) > 1 and w not in ("und", "co") and _near(w, _LEGAL, 1, 7)]
-    if legal and not lines and all(w in ("ao", "ag", "kg") for w in legal) and any(_legal(d) for d in dotted):
-        legal = []  # initials, such as A. O.
-    if lines or legal:
-        line = max(sorted(set(lines)), key=lines.count) if lines else _slipped(words)
-        core = [w for b, w in zip(business, words) if not (b and (w not in _WEAK or line)) and not _near(w, _LEGAL, 1, 7) and len(w) > 1]
-        if line and len(core) > 1:
-            core = [w for w in core if not _misspelt(w, line)] or core
-        if core:
-            return "firm", "".join(core), line, ""
-    words = [w for w in re.findall(r"[a-z]+", t) if not (w in _TITLES or len(w) > 3 and _near(w, _TITLES, 3, 4))]
-    longest = max(words, key=len, default="")
-    given, surname = [], []
-    for w in words:
-        if len(w) == 1:
-            given.append(w)
-            continue
-        g = _near(w, _GIVEN, 2, 4 if w != longest and len(longest) > 7 else 5)
-        if g is None and w != longest and len(w) < 14 and w.endswith(("ovich", "evich", "ovna", "evna", "ichna")):
-            g = w
-        if g is not None:
-            given.append(_GIVEN.get(g, g))
-        else:
-            surname.append(w)
-    if not given and len(surname) > 1 and (line := _slipped(surname)):
-        return "firm", "".join(w for w in surname if not _misspelt(w, line)), line, ""
-    if not surname and given:
-        long = max(given, key=len)
-        given.remove(long)
-        surname = [long]
-    first = given[0] if given else ""
-    second = given[1][0] if len(given) > 1 else ""
-    return "person", "".join(surname), first, second
+_slips: dict[tuple[str, str], bool] = {}
+
+
+def _slip_of(word: str, kind: str) -> bool:
+    """Whether a word is a slip of a title or of a legal form of seven letters or more."""
+    key = (kind, word)
+    if key not in _slips:
+        table = [x for x in LEGAL if len(x) > 6] if kind == "legal" else [x for x in TITLES if len(x) > 3]
+        if len(_slips) > 200_000:
+            _slips.clear()
+        _slips[key] = any(abs(len(x) - len(word)) <= 2 and slips(word, x) <= (2 if len(x) > 6 else 1) for x in table)
+    return _slips[key]
+
+
+def slips(a: str, b: str) -> int:
+    """Edits between two words, where two neighbouring letters changing places is one."""
+    two, one = None, list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row = [i]
+        for j, y in enumerate(b, 1):
+            n = min(row[-1] + 1, one[j] + 1, one[j - 1] + (x != y))
+            if two is not None and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                n = min(n, two[j - 2] + 1)
+            row.append(n)
+        two, one = one, row
+    return one[-1]
+
+
+def spelt_from(short: str, long: str) -> bool:
+    """Whether a short form's letters stand in the long form in that order, the first at its start: mfg of manufacturing."""
+    if not short or short[0] != long[0] or 4 * len(short) > 3 * len(long):
+        return False
+    rest = iter(long)
+    return all(c in rest for c in short)
+
 
+def _bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        rows = []
+        for k, text in enumerate(pdf["alias_text"]):
+            t = tokens(text)
+            legal = any(kind == "legal" for _, kind in t)
+            rows += [(text, w, i, legal) for i, (w, kind) in enumerate(t) if kind in ("word", "short")]
+        yield pd.DataFrame(rows, columns=["alias_text", "word", "place", "legal"])
+
+
+class Lexicon:
+    """The common words of the archive: their frequency, whether they name lines of business, and which word a slip stands for."""
+
+    def __init__(self, words: dict[str, int], firms: set[str], nicknames: dict[str, str] | None = None):
+        self.words, self.firms, self.nicknames = words, firms, nicknames or {}
+        self.near: dict[str, list[str]] = defaultdict(list)
+        for w in words:
+            if len(w) > 2:
+                for d in self._deletes(w):
+                    self.near[d].append(w)
+        self._kept: dict[str, str | None] = {}
+        self.same = {w: self._frequent(w) for w in words}
+
+    def __getstate__(self):
+        return self.__dict__ | {"_kept": {}}
+
+    @staticmethod
+    def _radius(word: str) -> int:
+        return 1 if len(word) < 7 else 2
+
+    @classmethod
+    def _deletes(cls, word: str) -> set[str]:
+        out = {word} | {word[:i] + word[i + 1 :] for i in range(len(word))}
+        if cls._radius(word) > 1:
+            out |= {d[:i] + d[i + 1 :] for d in list(out) for i in range(len(d))}
+        return out
+
+    def _matches(self, word: str) -> list[tuple[int, int, str]]:
+        seen = {w for d in self._deletes(word) for w in self.near.get(d, ())} - {word}
+        near = [(slips(word, w), -self.words[w], w) for w in seen]
+        # short words only change the places of letters
+        return sorted(x for x in near if x[0] <= min(self._radius(word), self._radius(x[2])) and (min(len(word), len(x[2])) > 4 or sorted(word) == sorted(x[2])))
+
+    def _frequent(self, word: str) -> str:
+        """A common word that is itself a slip of one eight times as frequent stands for that."""
+        near = [w for _, n, w in self._matches(word) if -n >= 8 * self.words[word]]
+        return near[0] if near else word
+
+    def common(self, word: str) -> str | None:
+        """The common word that a word is or is a slip of; None for a distinctive one."""
+        if word in self.words:
+            return self.same[word]
+        if word.endswith(PATRONYMIC) and len(word) < 14:
+            return word
+        if word not in self._kept:
+            if len(self._kept) > 200_000:
+                self._kept.clear()
+            near = self._matches(word) if len(word) > 2 else []
+            self._kept[word] = self.same[near[0][2]] if near else None
+        return self._kept[word]
+
+    def parse(self, text: str) -> tuple[str, str, list[str], str | None]:
+        """(kind, core, rest, prefixes): rest are common words and initials in order; prefixes only for names beyond the statistics."""
+        given, core, legal, dotted = [], [], False, []
+        short = False
+        for w, kind in tokens(text):
+            if kind == "legal":
+                legal = True
+            elif kind == "dotted":
+                dotted.append(w)
+                given += list(w)
+            elif kind == "initial":
+                given.append(w[0])
+            elif kind in ("word", "short"):
+                c = self.common(w)
+                if c is None:
+                    core.append(w)
+                    short |= kind == "short"
+                else:
+                    given.append(c)
+        plain = [w for w in given if len(w) > 1]
+        firm = any(w in self.firms for w in plain) or legal and not any(w not in self.firms for w in plain)
+        if firm:  # dotted letters are a legal form
+            given = [w for w in plain if w in self.firms] or plain
+        if not core and plain:
+            rare = min(plain, key=lambda w: (self.words.get(w, 0), -len(w), w))
+            core = [rare]
+            given.remove(rare)
+        given = [self.nicknames.get(w, w) for w in given]
+        prefixes = " ".join(sorted({w[:3] for w in core})) + (" ." if short else "") if len(core) > 1 and not any(len(w) > 1 for w in given) else None
+        return "firm" if firm else "person", " ".join(core), given, prefixes
+
+
+def lexicon(texts: DataFrame, nicknames: dict[str, str] | None = None) -> Lexicon:
+    """The common words, from all names: their number is bounded by LEAST_SHARE, and only they reach the driver."""
+    words = cut(texts.mapInPandas(_bags, "alias_text string, word string, place int, legal boolean"))
+    n = texts.count()
+    df = words.groupBy("word").agg(F.count_distinct("alias_text").alias("df"), F.avg(F.col("legal").cast("int")).alias("firm"))
+    bag = words.join(df.select("word", "df"), "word").groupBy("alias_text").agg(F.collect_list(F.struct("df", "word", "place")).alias("bag"))
+    one = bag.select("bag", F.explode("bag").alias("x"))
+    others = F.filter("bag", lambda y: y["word"] != F.col("x.word"))
+    rarest = F.array_min(F.transform(others, lambda y: F.struct(y["df"].alias("df"), (-F.length(y["word"])).alias("size"), y["place"].alias("place"), y["word"].alias("word"))))
+    pairs = one.select(F.col("x.word").alias("word"), F.col("x.place").alias("place"), F.col("x.df").alias("df"), rarest.alias("r")).where("r.df <= df")
+    ends = F.concat(F.substring("r.word", 1, 1), F.expr("right(r.word, 1)"))
+    per = pairs.groupBy("word", ends.alias("ends")).agg(F.count("*").alias("n"), F.count_if(F.col("place") < F.col("r.place")).alias("before"))
+    sums = per.groupBy("word").agg(F.count("*").alias("kinds"), F.sum("n").alias("n"), F.sum("before").alias("before"))
+    least = max(4, int(LEAST_SHARE * n))
+    share, side = F.col("kinds") / F.col("df"), F.least("before", F.col("n") - F.col("before")) / F.col("n")
+    fits = F.lit(False)
+    for kinds, part, both in COMMON:
+        # neighbours told by two letters run out at some hundreds, so a frequent word needs no greater share
+        fits |= (F.col("kinds") >= kinds) & ((share >= part) | (F.col("kinds") >= 60)) & (side >= both)
+    rows = sums.join(df.where(F.col("df") >= least), "word").where(fits).select("word", "df", "firm").collect()
+    return Lexicon({r.word: r.df for r in rows}, {r.word for r in rows if r.firm >= FIRM_SHARE}, nicknames)
+
+
+def _parsed(shared):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        lex = shared.value
+        for pdf in batches:
+            rows = [(t, *lex.parse(t)) for t in pdf["alias_text"]]
+            yield pd.DataFrame(rows, columns=["alias_text", "kind", "core", "rest", "prefixes"])
 
-def _legal(text: str) -> bool:
-    return re.sub(r"[^a-z]", "", text) in ("ag", "gmbh", "mbh", "kg", "ooo", "oao", "zao", "ao", "cokg", "llc", "ltd", "inc")
+    return run
 
 
-def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _spellings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(core, spelling): the joined words, also from their smallest on, since parts may be reordered."""
     for pdf in batches:
-        rows = [(t, *parse(t)) for t in pdf["alias_text"]]
-        yield pd.DataFrame(rows, columns=["alias_text", "kind", "core", "first", "second"])
+        rows = set()
+        for core in pdf["core"]:
+            w = core.split(" ")
+            rows.add((core, "".join(w)))
+            if len(w) > 1:
+                k = w.index(min(w))
+                rows.add((core, "".join(w[k:] + w[:k])))
+        yield pd.DataFrame(sorted(rows), columns=["core", "spelling"])
+
+
+def _company(clusters: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(a, b, n): in how many clusters two common words occur; b is null for the number of a word's clusters."""
+    seen: Counter = Counter()
+    for pdf in clusters:
+        for kind, words in zip(pdf["kind"], pdf["words"]):
+            w = sorted(words)
+            seen.update((kind, x, "") for x in w)
+            seen.update((kind, x, y) for x, y in combinations(w, 2))
+            seen[(kind, "", "")] += 1
+            if len(seen) > 500_000:
+                yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["kind", "a", "b", "n"])
+                seen.clear()
+    yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["kind", "a", "b", "n"])
+
+
+def short_forms(forms: DataFrame) -> dict[str, list[tuple[str, float]]]:
+    """For each word its possible long forms, likeliest first: (word, share of the word's clusters that hold it).
+
+    forms has (cluster, kind, rest). Both tables that reach the driver are over pairs of common words."""
+    words = forms.select("cluster", "kind", F.explode(F.filter("rest", lambda w: F.length(w) > 1)).alias("word")).groupBy("cluster", "kind").agg(F.collect_set("word").alias("words"))
+    counts = words.select("kind", "words").mapInPandas(_company, "kind string, a string, b string, n long").groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
+    both = forms.select("kind", F.array_distinct(F.filter("rest", lambda w: F.length(w) > 1)).alias("words")).where("size(words) > 1")
+    beside = {(r.kind, r.a, r.b): r.n for r in both.mapInPandas(_company, "kind string, a string, b string, n long").groupBy("kind", "a", "b").agg(F.sum("n").alias("n")).where("b <> ''").collect()}
+    table = {(r.kind, r.a, r.b): r.n for r in counts.where("b = '' or n >= 2").collect()}
+    out: dict[str, list[tuple[str, float]]] = defaultdict(list)
+    for (kind, a, b), n in table.items():
+        if not b:
+            continue
+        total, na, nb = table[(kind, "", "")], table[(kind, a, "")], table[(kind, b, "")]
+        short, long = (a, b) if (na, a) <= (nb, b) else (b, a)
+        few, many = min(na, nb), max(na, nb)
+        spelt = spelt_from(short, long) or spelt_from(long, short)
+        least, share, lift = LEARNED[0] if spelt else LEARNED[1]
+        if n >= least and n / few >= share and n / few >= lift * many / total and beside.get((kind, a, b), 0) <= 0.2 * n:
+            if spelt_from(long, short):
+                short, long = long, short
+            # of several words that fit, the one that begins alike leads the name as the short form does
+            out[short].append((long, round(n / table[(kind, short, "")] + (0.3 if short[0] == long[0] else 0.0) + (0.3 if spelt else 0.0), 4)))
+    return {k: sorted(v, key=lambda x: (-x[1], x[0])) for k, v in out.items()}
 
 
 def _codes(names: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -287,6 +425,30 @@ def links(cores: DataFrame, pivots: int = PIVOTS, block: int = BLOCK) -> DataFra
     return met.groupBy("ring", "one", "two").applyInPandas(_join_cell, "src string, dst string")
 
 
+def _resolver(shared):
+    def long_form(word: str, known: dict, here: set[str]) -> str:
+        for _ in range(3):
+            options = known.get(word)
+            if not options:
+                break
+            word = next((w for w, _ in options if w in here), options[0][0])
+        return word
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        known = shared.value
+        if (pdf["kind"] == "firm").any():  # a bare core beside firms is one
+            pdf = pdf.assign(kind=["firm" if not len(rest) else kind for kind, rest in zip(pdf["kind"], pdf["rest"])])
+        here = {w for rest in pdf["rest"] for w in rest if len(w) > 1}
+        first, second = [], []
+        for kind, rest in zip(pdf["kind"], pdf["rest"]):
+            rest = [w if len(w) == 1 else long_form(w, known, here) for w in rest]
+            first.append(rest[0] if len(rest) else "")
+            second.append(rest[1][0] if kind == "person" and len(rest) > 1 else "")
+        return _resolve(key, pdf.assign(first=first, second=second))
+
+    return run
+
+
 def _resolve(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     """Entities among the forms of one cluster."""
     names = {}
@@ -321,27 +483,48 @@ def _resolve(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     people_found = {n for n in lone if n not in ("person:",) and n.startswith("person:")}
     fix = next(iter(people_found)) if len(people_found) == 1 else "person:"
     entity = [fix if names[i] == "person:" else names[i] for i in pdf.index]
-    return pd.DataFrame({"cluster": key[0], "kind": pdf["kind"], "core": pdf["core"], "first": pdf["first"], "second": pdf["second"], "entity": entity})
+    return pd.DataFrame({"cluster": key[0], "form": pdf["form"], "entity": entity})
 
 
-def entities(aliases: DataFrame) -> DataFrame:
-    """(alias_id, entity_id): entity_id is the smallest alias_id of the entity."""
+def entities(aliases: DataFrame, nicknames: dict[str, str] | None = None) -> DataFrame:
+    """(alias_id, entity_id): entity_id is the smallest alias_id of the entity. nicknames are short forms beside the learned ones."""
+    sc = aliases.sparkSession.sparkContext
     rows = aliases.where("alias_id is not null").select("alias_id", "alias_text")
-    texts = rows.where("length(alias_text) > 0").select("alias_text").distinct()
-    parsed = cut(texts.mapInPandas(_parsed, "alias_text string, kind string, core string, first string, second string").where("core <> ''"))
-    cores = cut(parsed.select("core").distinct())
-    cluster = connected_components(cores.select(F.col("core").alias("id")), links(cores)).select(F.col("id").alias("core"), F.col("component").alias("cluster"))
-    counted = rows.groupBy("alias_text").count().join(parsed, "alias_text")
-    forms = counted.groupBy("kind", "core", "first", "second").agg(F.sum("count").alias("n")).join(cluster, "core")
+    counted = cut(rows.where("length(alias_text) > 0").groupBy("alias_text").count())
+    texts = counted.select("alias_text")
+    lex = sc.broadcast(lexicon(texts, nicknames))
+    parsed = cut(counted.mapInPandas(_with_count(_parsed(lex)), "alias_text string, kind string, core string, rest array<string>, prefixes string, n long").where("core <> ''"))
+    cores = parsed.select("core").distinct()
+    spelt = cut(cores.mapInPandas(_spellings, "core string, spelling string"))
+    near = links(cut(spelt.select(F.col("spelling").alias("core")).distinct()))
+    # spellings and cores are vertices of one graph; a core is linked to its own spellings, an abbreviated name to its long one
+    own = spelt.select(F.concat(F.lit("core "), "core").alias("src"), F.col("spelling").alias("dst"))
+    full = parsed.where("prefixes is not null and prefixes not like '% .'").select("prefixes", F.col("core").alias("long")).distinct()
+    cut_short = parsed.where("prefixes like '% .'").select(F.expr("left(prefixes, length(prefixes) - 2)").alias("prefixes"), F.col("core").alias("short")).distinct()
+    extended = F.forall(F.split("short", " "), lambda w: F.exists(F.split(F.col("long"), " "), lambda x: x.startswith(w)))
+    abbreviated = cut_short.join(full, "prefixes").where(extended).select(F.concat(F.lit("core "), "short").alias("src"), F.concat(F.lit("core "), "long").alias("dst"))
+    edges = own.union(near).union(abbreviated)
+    vertices = spelt.select(F.concat(F.lit("core "), "core").alias("id")).distinct()
+    cluster = cut(connected_components(vertices, edges).select(F.expr("substring(id, 6)").alias("core"), F.col("component").alias("cluster")))
+    named = cut(parsed.join(cluster, "core").withColumn("form", F.sha2(F.concat_ws("|", "kind", "core", F.array_join("rest", " ")), 256)))
+    forms = cut(named.groupBy("cluster", "form").agg(F.first("kind").alias("kind"), F.first("rest").alias("rest"), F.sum("n").alias("n")))
+    known = sc.broadcast(short_forms(forms))
     # a cluster holds the different forms of one surname or firm, however often each occurs
     parts = int(aliases.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    solved = forms.repartition(parts, "cluster").groupBy("cluster").applyInPandas(_resolve, "cluster string, kind string, core string, first string, second string, entity string")
-    named = rows.join(parsed, "alias_text", "left").join(solved, ["kind", "core", "first", "second"], "left")
-    named = cut(named.select("alias_id", F.coalesce(F.sha2(F.concat_ws("|", "cluster", "entity"), 256), F.col("alias_id")).alias("name"), F.col("cluster").isNull().alias("alone")))
-    name = F.when(F.col("alone"), F.concat(F.lit("alone "), "alias_id")).otherwise(F.col("name"))
-    named = named.select("alias_id", name.alias("name"))
-    smallest = named.groupBy("name").agg(F.min("alias_id").alias("entity_id"))
-    return named.join(smallest, "name").select("alias_id", "entity_id")
+    solved = forms.repartition(parts, "cluster").groupBy("cluster").applyInPandas(_resolver(known), "cluster string, form string, entity string")
+    resolved = named.select("alias_text", "cluster", "form").join(solved, ["cluster", "form"]).select("alias_text", F.sha2(F.concat_ws("|", "cluster", "entity"), 256).alias("name"))
+    of = cut(rows.join(resolved, "alias_text", "left").select("alias_id", F.coalesce("name", F.concat(F.lit("alone "), "alias_id")).alias("name")))
+    smallest = of.groupBy("name").agg(F.min("alias_id").alias("entity_id"))
+    return of.join(smallest, "name").select("alias_id", "entity_id")
+
+
+def _with_count(parse):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for out in parse(iter([pdf])):
+                yield out.assign(n=pdf["count"].to_numpy())
+
+    return run
 
 
 def found(aliases: DataFrame) -> DataFrame:

@@ -82,17 +82,72 @@ def test_names_links_against_brute_force(spark):
     assert got == want
 
 
-def test_names_entities(spark):
-    groups = [["Dr. Johannes C. Bolavacalibus", "J.C. B0lavacalibus", "Bolavacalibus, Johannes", "JOHANNES BOLAVACALIBUS"], ["Margaret Bolavacalibus", "Peggy Bolavacalibus"], ["ЗАО Машзавод Нелнелгаллемраук", "Нелнелгаллемраук, Машиностроительный завод, З.А.О."], ["ООО «ТД Нелнелгаллемраук»", "Торговый дом Нелнелгаллемраук"], ["Оксана Горворнорлемваленко", "prof. Ksenya Gorvornorlemvalenko", "Горворнорлемваленко О."]]
-    rows = [(f"{g}{k}", t) for g, ts in enumerate(groups) for k, t in enumerate(ts)] + [("x1", None), ("x2", ""), ("x3", "???"), (None, "Ghost Name")]
-    df = spark.createDataFrame(rows, "alias_id string, alias_text string").withColumn("core", F.lit("c")).withColumn("n", F.lit(1))
+def _invented_archive(rng):
+    """(alias_id, alias_text, entity): people and firms of another invented archive, with slips, short forms, initials and reordered parts."""
+    given = {"Fernando": "Nando", "Guadalupe": "Lupe", "Antoine": "Toine", "Isabella": "Bella", "Giovanni": "Gianni", "Beatrice": "Bice", "Konstantin": "Kostja", "Josephine": "Fifi", "Leopold": "Poldi", "Marcellus": "", "Apollonia": "", "Hyacinth": ""}
+    lines = {"Bakery": "Bky.", "Shipping": "Shpg.", "Vineyards": "Vyds.", "Fisheries": "Fish.", "Printworks": "Prtwks.", "Observatory": "Obs."}
+    legal = [("Ltd", "Limited"), ("GmbH", "G.m.b.H."), ("Inc.", "Incorporated")]
+    parts = ["bru", "dok", "fim", "gry", "huv", "kaz", "lyt", "moq", "nej", "pux", "rov", "syd", "tob", "vek", "wip", "zun", "chal", "thor", "quim", "oste"]
+
+    def core():
+        return "".join(rng.choice(parts) for _ in range(rng.randint(3, 4))).capitalize()
+
+    def slip(t):
+        k = rng.randrange(1, len(t) - 1)
+        return rng.choice([t[:k] + t[k + 1] + t[k] + t[k + 2 :], t[:k] + t[k + 1 :], t[:k] + t[k] + t[k:]])
+
+    rows = []
+    for e in range(260):
+        if e % 2:
+            surname = core()
+            for g in rng.sample(sorted(given), rng.choice([1, 1, 2])):
+                for _ in range(6):
+                    first = rng.choice([g, g, given[g] or g, g[0] + "."])
+                    s = slip(surname) if rng.random() < 0.2 else surname
+                    rows.append((rng.choice([f"{first} {s}", f"{s}, {first}", f"Dr. {first} {s}", f"{first} {s}".upper()]), f"{e}{g}"))
+        else:
+            name, form = f"{core()} {core()}", rng.choice(legal)
+            for line in rng.sample(sorted(lines), rng.choice([1, 1, 2])):
+                for _ in range(6):
+                    n = slip(name) if rng.random() < 0.2 else name
+                    w = rng.choice([line, line, lines[line]])
+                    rows.append((rng.choice([f"{n} {w}", f"{w} {n}", f"{n} {w} {rng.choice(form)}", f"{w} {n} {rng.choice(form)}"]), f"{e}{line}"))
+    return [(f"a{k:05d}", t, x) for k, (t, x) in enumerate(rows)]
+
+
+def test_names_entities_by_statistics_alone(spark):
+    rows = _invented_archive(random.Random(4))
+    df = spark.createDataFrame([r[:2] for r in rows] + [("x1", None), ("x2", ""), ("x3", "???"), (None, "Ghost Name")], "alias_id string, alias_text string").withColumn("core", F.lit("c")).withColumn("n", F.lit(1))
     e = {r.alias_id: r.entity_id for r in names.entities(df).collect()}
-    for g, ts in enumerate(groups):
-        assert len({e[f"{g}{k}"] for k in range(len(ts))}) == 1
-    assert len(set(e.values())) == len(groups) + 3 and set(e) == {r[0] for r in rows if r[0]}
+    assert set(e) == {r[0] for r in rows} | {"x1", "x2", "x3"} and all(e[x] == x for x in ("x1", "x2", "x3"))
+    of = {r[0]: r[2] for r in rows}
+    by = {side: {(a, b) for g in _groups(side).values() for a, b in itertools.combinations(sorted(g), 2)} for side in (tuple(of.items()), tuple((k, v) for k, v in e.items() if k in of))}
+    want, got = by.values()
+    assert len(want & got) >= 0.9 * len(want) and len(want & got) >= 0.9 * len(got)
     assert names.found(df.limit(0)).count() == 0
 
 
+def _groups(pairs):
+    out = {}
+    for k, v in pairs:
+        out.setdefault(v, []).append(k)
+    return out
+
+
+def test_names_without_statistics(spark):
+    groups = [["Erika Schneiderlinger", "Schneiderlinger, Erika", "Erika Schneiderlingr"], ["Acme Logistics", "Logistics Acme", "Acme Log. GmbH"], ["Dr. Johannes Bolavacalibus", "JOHANNES BOLAVACALIBUS"], ["ЗАО Машзавод Нелнелгаллемраук", "Нелнелгаллемраук Машзавод, З.А.О."]]
+    rows = [(f"{g}{k}", t) for g, ts in enumerate(groups) for k, t in enumerate(ts)]
+    e = {r.alias_id: r.entity_id for r in names.entities(spark.createDataFrame(rows, "alias_id string, alias_text string")).collect()}
+    assert e == {f"{g}{k}": f"{g}0" for g, ts in enumerate(groups) for k in range(len(ts))}
+
+
+def test_names_nicknames_are_a_parameter():
+    lex = names.Lexicon({"margaret": 40, "peggy": 8}, set(), {"peggy": "margaret"})
+    assert lex.parse("Peggy Bolavacalibus")[1:3] == lex.parse("Bolavacalibus, Margaret")[1:3] == ("bolavacalibus", ["margaret"])
+    assert lex.parse("Margarte Bolavacalibus")[2] == ["margaret"]
+    assert names.spelt_from("mfg", "manufacturing") and not names.spelt_from("hans", "johannes")
+
+
 def test_golden(spark):
     g = spark.createDataFrame([("g", "a"), ("g", "b"), ("g", "a"), ("h", "zz"), (None, "a"), ("i", None)], "group_id string, document_id string").withColumn("filled", F.lit(9))
     r = spark.createDataFrame([("a", "docling", "Title", "eng", None, 10, 5, 1), ("a", "docling", "Old", "eng", "x", 10, 5, 0), ("b", "tesseract", "Title B", " UND ", "text/plain", 11, 5, 3), (None, "docling", "No", "eng", "x", 1, 1, 9)], "document_id string, extractor_profile string, title string, language string, media_type string, byte_size long, text_chars long, at int")
