@@ -78,7 +78,7 @@ def test_scans(spark):
     clean = [text(rng, lang, s, 2) for lang in ("eng", "deu") for s in ("S1", "S2") for _ in range(40)]
     page = "Nobody at Boholm could explain why the orchard row differed from the seed drill by more than 7\nCONTRACT AB-123/4\n- 12 -\nunits and why it was agreed that the hay bale was not deli-\nvered together with the wcrking group’s annual index card."
     rows = [(f"c{k}", t) for k, t in enumerate(clean)] + [("page", page), ("ocr", clean[0].replace("working", "vvorking").replace("noted", "n0ted").replace("that", "thaf")), ("wrap", clean[1].replace(" ", "\n", 3)), ("hyphen", "Both the pre-\nand the working group compared the seed drill with the index card."), ("null", None), ("empty", ""), ("long", "word " * 50_000)]
-    df = spark.createDataFrame(rows, "chunk_id string, text string").withColumn("word", F.lit("w")).withColumn("n", F.lit(1))
+    df = spark.createDataFrame(rows, "chunk_id string, text string").withColumn("word", F.lit("w")).withColumn("n", F.lit(1)).withColumn("document_id", F.lit("d"))
     titles = spark.createDataFrame([("Contract AB-1: x",)] * 5 + [(None,)], "title string")
     got = {r.chunk_id: r for r in scans.repaired(df, titles).collect()}
     assert {"page", "ocr"} <= set(got) and not {"wrap", "hyphen", "null", "empty", "long"} & set(got)
@@ -87,6 +87,28 @@ def test_scans(spark):
     assert scans.found(df.limit(0), titles.limit(0)).count() == 0
 
 
+def test_scans_beyond_the_list(spark):
+    rng = random.Random(5)
+    clean = [text(rng, lang, s, 2) for lang in ("eng", "deu") for s in ("S1", "S2") for _ in range(60)]
+    rows = [(f"c{k}", f"d{k}", t) for k, t in enumerate(clean)]
+    wrong = {"explain": "explxin", "delivered": "delivred", "working": "worknig", "deviation": "deviotion", "supplier": "supqlier"}
+    for k, (right, read) in enumerate(wrong.items()):
+        if right != "working":  # two letters that change places are two edits
+            rows.append((f"e{k}", f"e{k}", "It was known at once that nobody could explain why it was delivered and noted a deviation of the supplier by the working group.".replace(right, read)))
+    # a header without a code, in five chunks of one document, and a heading that recurs as well but breaks no sentence
+    for k in range(5):
+        rows.append((f"h{k}", "book", f"Results {k}\n\nNobody at Boholm could explain why the orchard row differed from the seed drill by\nHandbook of Irrigation   Part {k}\nmore than 7 units and why it was agreed that the hay bale was late."))
+    rows.append(("double", "x", "Nobody could explain why the contractt for the seed drill was late. The contract was noted."))
+    df = spark.createDataFrame(rows, "chunk_id string, document_id string, text string")
+    titles = spark.createDataFrame([(None,)], "title string")
+    got = {r.chunk_id: r for r in scans.repaired(df, titles).collect()}
+    assert {f"h{k}" for k in range(5)} <= set(got) and all("Handbook" not in got[f"h{k}"].text and f"Results {k}" in got[f"h{k}"].text for k in range(5))
+    for k, (right, read) in enumerate(wrong.items()):
+        if right != "working":
+            assert right in got[f"e{k}"].text and read not in got[f"e{k}"].text
+    assert not {"double"} & set(got) and not any(k.startswith("c") for k in got)
+
+
 def test_automaton_is_complete():
     vocabulary = {"".join(w): 100 for w in {("a", "b", "c"), ("a", "c"), ("b", "c", "d"), ("m", "a", "p"), ("o", "n", "l", "y")}}
     lex = scans.Lexicon(vocabulary, 5)
