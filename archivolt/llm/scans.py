@@ -372,7 +372,7 @@ class Cleaner:
             w, before, after = words[k], words[k - 1], words[k + 1]
             if w in odd and w not in done and (options := self.lex.one_edit(w)):
                 done.add(w)
-                plain = all(x in known or x.isdigit() for x in (before, after)) and not {before + w, w + after, before + w + after} & known.keys()
+                plain = max(len(before), len(after)) > 1 and all(x in known or x.isdigit() for x in (before, after)) and not {before + w, w + after, before + w + after} & known.keys()
                 if plain:
                     yield w, min(options, key=lambda x: (edit_of(w, x) != "doubled", x not in held, -known[x], x))
 
