@@ -45,6 +45,7 @@ def queries() -> dict[str, Query]:
         "p10_found": _with(subjects.found, *_SUBJECTS),
         "p10_subjects": _with(subjects.subjects, *_SUBJECTS),
         "p10_composition": _with(subjects.composition, *_SUBJECTS),
+        "p10_held_out": _with(subjects.held_out, *_SUBJECTS),
         "p10_top_terms": _with(subjects.top_terms, *_SUBJECTS),
         "p9_found": _with(leaks.found, "documents", "evaluation_items"),
         "p9_leaks": _with(leaks.leaks, "documents", "evaluation_items"),

@@ -1,14 +1,17 @@
 """Problem 10: the subject areas of each document.
 
-Method: latent Dirichlet allocation, fitted over all documents. Paragraphs and tables are the bags of words; the topics are
-found by distributed variational EM: every partition infers its paragraphs' proportions under the current topics and
-returns expected word counts, whose sum makes the next topics. One topic for each subject starts from the words of labelled
-texts, further topics from words that no subject owns. Afterwards each topic is mapped to a subject through its top terms:
-the terms' shares among labelled texts vote, and a topic whose terms point nowhere stays unmapped. A document gets the
-subjects that its paragraphs are devoted to by their topic proportions; a stray term in another subject's paragraph is none.
+Method: latent Dirichlet allocation, fitted over all documents without any label. Paragraphs and tables are the bags of words.
+Topics start from clusters of a bounded sample of paragraphs; online variational EM follows: the documents are dealt to BATCHES,
+in each round every partition infers the proportions of its paragraphs of one batch under the current topics and returns
+expected word counts, which move the topics. Every document takes part in every epoch.
+Only then labels are looked at: each topic is mapped to a subject through its top terms, whose shares among labelled texts vote;
+a topic whose terms point nowhere stays unmapped. Topics of one subject are merged, which a few rounds over all documents settle.
+A document gets the subjects that its paragraphs are devoted to by their topic proportions; a stray term in another subject's
+paragraph is none.
 
 Bounds: the vocabulary holds words of at least MIN_SHARE of all documents, counted over all of them, so that its size can't
-grow with the archive; words spread evenly over the labelled subjects are stop words.
+grow with the archive (it is at most the words of an average document over MIN_SHARE); words of more than STOP_SHARE of the
+documents are stop words (stop_share; to be raised for an archive of one or two subjects). Subjects are a fixed table; more than MAX_SUBJECTS of them are refused.
 
 Defined cases: rows without a doc_id are left out; null and empty texts have no subject; unknown labels and labels of missing documents are ignored; without any
 label nothing is assigned; repeated documents are judged alike.
@@ -25,25 +28,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from archivolt.functions import codepoints, wordhash
-from archivolt.functions.language import PROFILES, detect
-from archivolt.session import cut
-
-#: Least share and number of documents of a vocabulary word; topics beside those of the subjects; rounds of EM and steps inside.
-MIN_SHARE, MIN_DOCUMENTS, BACKGROUND, ROUNDS, STEPS = 3e-4, 3, 6, 6, 4
-#: Dirichlet priors of a paragraph's proportions (subject topics, background) and of a topic's words.
-ALPHA, ALPHA_BACKGROUND, ETA = 0.1, 0.1, 0.02
-#: A word leans to a subject if its share there is above the even share by so much of the rest, and that is no accident; a topic
-#: belongs to a subject if its top terms' vote is.
-LEAN, VOTE = 0.17, 0.3
+from archivolt.session import broadcast_if_small, cut
+
+#: Least share and number of documents of a vocabulary word, and the greatest share.
+MIN_SHARE, MIN_DOCUMENTS, STOP_SHARE = 3e-4, 3, 0.04
+#: Topics; paragraphs from which they start (a bounded sample); batches of an epoch; epochs; rounds after merging; steps inside.
+TOPICS, SAMPLE, BATCHES, EPOCHS, ROUNDS, STEPS = 96, 6000, 12, 2, 3, 3
+#: Unmapped topics that remain beside the subjects after merging.
+BACKGROUND = 8
+#: Dirichlet priors of a paragraph's proportions and of a topic's words; how fast later batches count less.
+ALPHA, ETA, DECAY = 0.05, 0.01, 0.6
+#: A topic belongs to a subject if the vote of so many of its top terms is.
+TOP_TERMS, VOTE = 25, 0.4
 #: Expected words of its subject that a paragraph needs, and their share among all subject words of it.
-LEAST_WORDS, LEAST_SHARE = 0.8, 0.5
+LEAST_WORDS, LEAST_SHARE = 0.9, 0.5
 #: So few words are a stray term where their subject makes up less than this share of the document's subject words.
 STRAY_WORDS, STRAY_SHARE = 2.5, 0.1
-SEED = 11
-#: Languages by which the labelled texts are counted apart, the last for the rest: subjects differ in their mix of languages.
-TONGUES = (*PROFILES, "other")
-#: Weight of the labelled texts' own words in every round.
-LABELLED = 4.0
+SEED = 3
+MAX_SUBJECTS = 10_000
 _IS = codepoints.lookup(digit="0123456789_", line="\n\0", space=" \t\r ")
 
 
@@ -63,7 +65,8 @@ def _bags(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     blank = np.zeros(len(cp) + 1, np.int32)
     blank[ends[empty | (cp[ends] == 0)]] = 1
     paragraph = np.cumsum(blank)[a]
-    keep = plain & (b - a > 1)
+    # two letters are an abbreviation, except in scripts that write words with one or two
+    keep = plain & ((b - a > 2) | (b - a > 1) & (cp[a] >= 0x2E80))
     return h[keep], owner[keep], paragraph[keep]
 
 
@@ -84,13 +87,15 @@ def _df(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"word": np.append(np.fromiter(total.keys(), np.uint64, len(total)).view(np.int64), 0), "n": [*total.values(), n]})
 
 
-def vocabulary(documents: DataFrame) -> tuple[np.ndarray, int]:
-    """(sorted hashes of the vocabulary, number of documents), from document frequencies over all documents."""
+def vocabulary(documents: DataFrame, stop_share: float = STOP_SHARE) -> tuple[np.ndarray, np.ndarray, int]:
+    """(sorted hashes of the vocabulary without stop words, their document frequencies, number of documents), over all documents."""
     counts = cut(documents.where("length(text) > 0").select("text").mapInPandas(_df, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
     n = next((r.n for r in counts.where("word = 0").collect()), 0)
     floor = max(MIN_DOCUMENTS, int(MIN_SHARE * n))
-    rows = counts.where((F.col("n") >= floor) & (F.col("word") != 0)).select("word").collect()
-    return np.sort(np.array([r.word for r in rows], np.int64).view(np.uint64)), n
+    rows = counts.where((F.col("n") >= floor) & (F.col("n") <= max(floor, stop_share * n)) & (F.col("word") != 0)).collect()
+    words, df = np.array([r.word for r in rows], np.int64).view(np.uint64), np.array([r.n for r in rows], np.int64)
+    order = np.argsort(words)
+    return words[order], df[order], n
 
 
 def _index(vocab: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -101,44 +106,63 @@ def _index(vocab: np.ndarray, h: np.ndarray) -> np.ndarray:
     return np.where(vocab[at] == h, at, -1)
 
 
-def _label_counts(shared):
+def labelled(labels: DataFrame, classes: list[str]) -> DataFrame:
+    """(doc_id, class_id) of documents with a single known label."""
+    known = labels.where(F.col("class_id").isin(classes)).groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.count_distinct("class_id").alias("k"))
+    return known.where("k = 1").select("doc_id", "class_id")
+
+
+def _label_counts(place: dict[str, int]):
+    """(class, word, n) of labelled bags, summed in each partition; each text weighs by the root of its counts, so that no long
+    one decides alone."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocab, classes = shared.value
-        out = np.zeros((len(TONGUES), len(classes), len(vocab)))
+        total: dict[tuple[int, int], float] = {}
         for pdf in batches:
-            for text, c in zip(pdf["text"], pdf["class_id"]):
-                h, _, _ = _bags([text])
-                i = _index(vocab, h)
-                tongue = detect(text)[0]
-                # each text weighs by the root of its counts, so that no long one decides alone
-                out[TONGUES.index(tongue) if tongue in TONGUES else -1, classes.index(c)] += np.sqrt(np.bincount(i[i >= 0], minlength=len(vocab)))
-        yield pd.DataFrame({"z": [out.tobytes()]})
+            for raw, c in zip(pdf["words"], pdf["class_id"]):
+                word, n = np.unique(np.frombuffer(raw, np.int32), return_counts=True)
+                for x, y in zip(word.tolist(), np.sqrt(n).tolist()):
+                    total[place[c], x] = total.get((place[c], x), 0.0) + y
+        yield pd.DataFrame([(*k, v) for k, v in total.items()], columns=["class", "word", "n"]).astype({"class": "int32", "word": "int32", "n": "float64"})
 
     return run
 
 
-def labelled(documents: DataFrame, labels: DataFrame, items: DataFrame, classes: list[str]) -> DataFrame:
-    """(class_id, text) of labelled documents of a single subject, and of labelled items."""
-    one = labels.where(F.col("class_id").isin(classes)).groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.countDistinct("class_id").alias("k")).where("k = 1")
-    docs = documents.where("length(text) > 0").select("doc_id", "text").join(one.select("doc_id", "class_id"), "doc_id").select("class_id", "text")
-    held = items.where(F.col("label").isin(classes) & (F.length("query_text") > 0)).select(F.col("label").alias("class_id"), F.col("query_text").alias("text"))
-    return docs.unionByName(held)
+def label_counts(bags: DataFrame, labels: DataFrame, items: DataFrame, vocab: np.ndarray, classes: list[str]) -> np.ndarray:
+    """Classes x words: how much of each word stands in texts of each class. Bags meet labels by id; no text moves."""
+    sc = bags.sparkSession.sparkContext
+    held = items.where(F.col("label").isin(classes) & (F.length("query_text") > 0)).select(F.lit(0).cast("long").alias("doc_id"), F.col("query_text").alias("text"), F.col("label").alias("class_id"))
+    held = held.mapInPandas(_tokens(sc.broadcast(vocab), "class_id"), "doc_id long, batch int, words binary, paragraphs binary, class_id string")
+    docs = bags.join(broadcast_if_small(labelled(labels, classes)), "doc_id").select("class_id", "words")
+    rows = docs.unionByName(held.select("class_id", "words")).mapInPandas(_label_counts({c: k for k, c in enumerate(classes)}), "class int, word int, n double")
+    out = np.zeros((len(classes), len(vocab)), np.float32)
+    for r in rows.groupBy("class", "word").agg(F.sum("n").alias("n")).toLocalIterator():  # at most classes x vocabulary
+        out[r["class"], r.word] = r.n
+    return out
+
 
+def _tokens(shared, label: str | None = None):
+    """(doc_id, batch, words, paragraphs): vocabulary words of every text; blocks of rows are dealt to the batches in turn."""
 
-def _tokens(shared):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocab, live = shared.value
+        from pyspark import TaskContext
+
+        vocab = shared.value
+        context = TaskContext.get()
+        turn = context.partitionId() if context else 0
         for pdf in batches:
             texts, ids = pdf["text"].tolist(), pdf["doc_id"].to_numpy()
-            for lo, hi in codepoints.slices(texts):
+            for lo, hi in codepoints.slices(texts, 200_000):
+                turn += 1
                 h, owner, paragraph = _bags(texts[lo:hi])
                 i = _index(vocab, h)
-                keep = (i >= 0) & live[i]
+                keep = i >= 0
                 i, owner, paragraph = i[keep].astype(np.int32), owner[keep], paragraph[keep].astype(np.int32)
                 first = np.flatnonzero(np.diff(owner, prepend=-1))
                 parts = zip(np.split(i, first[1:]), np.split(paragraph, first[1:])) if len(first) else ()
-                rows = [(int(ids[lo + o]), w.tobytes(), (p - p[0]).astype(np.int32).tobytes()) for o, (w, p) in zip(owner[first], parts)]
-                yield pd.DataFrame(rows, columns=["doc_id", "words", "paragraphs"])
+                rows = [(int(ids[lo + o]), turn % BATCHES, w.tobytes(), (p - p[0]).astype(np.int32).tobytes()) for o, (w, p) in zip(owner[first], parts)]
+                out = pd.DataFrame(rows, columns=["doc_id", "batch", "words", "paragraphs"])
+                yield out.assign(**{label: pdf[label].to_numpy()[lo + owner[first]]}) if label else out
 
     return run
 
@@ -168,100 +192,153 @@ def infer(word: np.ndarray, bag: np.ndarray, phi: np.ndarray, alpha: np.ndarray,
 
 
 def _expect(shared):
+    """Expected word counts of each topic over one partition's documents."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         phi, alpha = shared.value
         out = np.zeros(phi.shape, np.float32)
+        some = False
         for pdf in batches:
-            for lo in range(0, len(pdf), 2000):
-                word, bag, _ = _unpack(pdf.iloc[lo : lo + 2000])
+            for lo in range(0, len(pdf), 1000):
+                some = True
+                word, bag, _ = _unpack(pdf.iloc[lo : lo + 1000])
                 r = infer(word, bag, phi, alpha)
                 order = np.argsort(word, kind="stable")
                 first = np.flatnonzero(np.diff(word[order], prepend=-1))
                 out[word[order][first]] += np.add.reduceat(r[order], first, axis=0)
-        yield pd.DataFrame({"z": [out.tobytes()]})
+        if some:
+            yield pd.DataFrame({"z": [out.tobytes()]})
 
     return run
 
 
 #: Tasks that add up the partitions' matrices before the driver sees them.
-SUMS = 8
+SUMS = 4
 
 
-def _add(shape: tuple[int, int], kind):
+def _add(shape: tuple[int, int]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out = np.zeros(shape, np.float64)
+        out = np.zeros(shape, np.float32)
         for pdf in batches:
             for z in pdf["z"]:
-                out += np.frombuffer(z, kind).reshape(shape)
+                out += np.frombuffer(z, np.float32).reshape(shape)
         yield pd.DataFrame({"z": [out.tobytes()]})
 
     return run
 
 
-def _sum_of(df: DataFrame, shape: tuple[int, int], kind) -> np.ndarray:
-    """Sum of one matrix a partition: SUMS tasks add them up, so what reaches the driver doesn't grow with the corpus."""
-    out = np.zeros(shape)
-    for r in df.repartition(SUMS).mapInPandas(_add(shape, kind), "z binary").collect():
-        out += np.frombuffer(r.z, np.float64).reshape(shape)
+def _counts(bags: DataFrame, phi: np.ndarray, alpha: np.ndarray) -> np.ndarray:
+    """Expected counts over all bags: SUMS tasks add up the partitions' matrices, so what reaches the driver doesn't grow."""
+    shared = bags.sparkSession.sparkContext.broadcast((phi, alpha))
+    out = np.zeros(phi.shape, np.float64)
+    for r in bags.mapInPandas(_expect(shared), "z binary").repartition(SUMS).mapInPandas(_add(phi.shape), "z binary").collect():
+        out += np.frombuffer(r.z, np.float32).reshape(phi.shape)
+    shared.unpersist()
     return out
 
 
 class Topics:
     """Fitted topics, with the subject each was mapped to (or none)."""
 
-    def __init__(self, vocab, live, phi, alpha, subject, classes):
-        self.vocab, self.live, self.phi, self.alpha, self.subject, self.classes = vocab, live, phi, alpha, subject, classes
+    def __init__(self, vocab, phi, alpha, subject, classes, raw):
+        self.vocab, self.phi, self.alpha, self.subject, self.classes, self.raw = vocab, phi, alpha, subject, classes, raw
 
 
-def fit(documents: DataFrame, labels: DataFrame, items: DataFrame, subjects: DataFrame) -> tuple[Topics, DataFrame]:
-    """The topic model, and the documents as bags of vocabulary words."""
-    sc = documents.sparkSession.sparkContext
-    classes = [r.class_id for r in subjects.where("class_id is not null").select("class_id").distinct().orderBy("class_id").limit(1000).collect()]  # a fixed small table
-    vocab, _ = vocabulary(documents)
-    c = len(classes)
-    seeds = labelled(documents, labels, items, classes)
-    apart = _sum_of(seeds.repartition(4).mapInPandas(_label_counts(sc.broadcast((vocab, classes))), "z binary"), (len(TONGUES) * c, len(vocab)), np.float64).reshape(len(TONGUES), c, len(vocab))
-    counts = apart.sum(0)
-    # how far a word leans to a subject, against the amount of text that each subject has in the word's languages
-    total = counts.sum(0)
-    mix = apart.sum(2) / np.maximum(apart.sum((1, 2)), 1e-9)[:, None]
-    even = np.einsum("lw,lc->cw", apart.sum(1), mix) / np.maximum(total, 1e-9)
-    even = np.where(total > 0, even, 1 / max(c, 1))
-    share = (counts + even) / (total + 1)
-    leans = ((share - even >= LEAN * (1 - even)) & (share - even >= 2.5 * np.sqrt(even * (1 - even) / (total + 1)))).any(0)
-    live = ~((total >= 5) & ~leans)  # evenly spread words are stop words
+def start(sample: list[tuple[np.ndarray, np.ndarray]], df: np.ndarray, n: int, topics: int) -> np.ndarray:
+    """Topics to start from, words x topics: spherical k-means over the TF-IDF vectors of sampled paragraphs, projected at random."""
     rng = np.random.default_rng(SEED)
-    k = c + BACKGROUND
-    start = np.full((len(vocab), k), 1e-3)
-    start[:, :c] += np.where(leans[None, :], counts * (share**2), 0).T
-    start[:, c:] += np.where(leans[:, None], 0.002, 1.0) * rng.gamma(1.0, 1.0, (len(vocab), BACKGROUND))
-    start[~live] = 1e-6
-    known = np.zeros_like(start)
-    known[:, :c] = LABELLED * np.where(leans[None, :], counts * (share**2), 0).T
-    alpha = np.append(np.full(c, ALPHA), np.full(BACKGROUND, ALPHA_BACKGROUND)).astype(np.float32)
-    phi = (start / np.maximum(start.sum(0), 1e-9)).astype(np.float32)
-    bags = cut(documents.where("doc_id is not null and length(text) > 0").select("doc_id", "text").mapInPandas(_tokens(sc.broadcast((vocab, live))), "doc_id long, words binary, paragraphs binary"))
-    for _ in range(ROUNDS if len(vocab) else 0):
-        shared = sc.broadcast((phi, alpha))
-        n = _sum_of(bags.mapInPandas(_expect(shared), "z binary"), phi.shape, np.float32) + ETA + known
-        phi = (n / n.sum(0)).astype(np.float32)
-        shared.unpersist()
-    return Topics(vocab, live, phi, alpha, _mapped(phi, counts, share, even, classes), classes), bags
-
-
-def _mapped(phi: np.ndarray, counts: np.ndarray, share: np.ndarray, even: np.ndarray, classes: list[str], top: int = 30) -> list[int]:
-    """The subject of each topic: its top terms vote with their shares among labelled texts; -1 if they point nowhere."""
+    idf = np.log((n + 1) / (df + 0.5))
+    bags = [w[p == k] for w, p in sample for k in np.unique(p)]
+    bags = [b for b in bags if len(b) >= 4] or [b for b in bags if len(b)]
+    bags = [bags[k] for k in rng.permutation(len(bags))[:SAMPLE]]
+    topics = max(1, min(topics, len(bags) // 3))
+    flat = np.concatenate(bags) if bags else np.zeros(0, np.int64)
+    if not len(flat):
+        return np.full((len(df), 1), 1.0)
+    turn = rng.normal(size=(len(df), 256)).astype(np.float32)
+    x = np.stack([(np.sqrt(c)[:, None] * idf[u][:, None] * turn[u]).sum(0) for u, c in (np.unique(b, return_counts=True) for b in bags)])
+    x /= np.linalg.norm(x, axis=1, keepdims=True) + 1e-9
+    centre = [x[0]]
+    far = 1 - x @ centre[0]
+    for _ in range(topics - 1):
+        q = np.maximum(far, 0) ** 2 + 1e-12
+        centre.append(x[rng.choice(len(x), p=q / q.sum())])
+        far = np.minimum(far, 1 - x @ centre[-1])
+    centre = np.stack(centre)
+    for _ in range(10):
+        near = (x @ centre.T).argmax(1)
+        for k in range(topics):
+            if (near == k).any():
+                centre[k] = x[near == k].sum(0)
+                centre[k] /= np.linalg.norm(centre[k]) + 1e-9
+    out = np.zeros((len(df), topics))
+    np.add.at(out, (flat, np.repeat(near, [len(b) for b in bags])), 1.0)
+    even = np.bincount(flat, minlength=len(df)) + 0.1
+    return 0.9 * out / np.maximum(out.sum(0), 1e-9) + 0.1 * (even / even.sum())[:, None]
+
+
+def topics(documents: DataFrame, epochs: float = EPOCHS, stop_share: float = STOP_SHARE) -> tuple[np.ndarray, np.ndarray, DataFrame]:
+    """(vocabulary, expected counts words x topics, bags): the topic model, fitted without labels."""
+    sc = documents.sparkSession.sparkContext
+    vocab, df, n = vocabulary(documents, stop_share)
+    texts = documents.where("doc_id is not null and length(text) > 0").select("doc_id", "text")
+    bags = cut(texts.mapInPandas(_tokens(sc.broadcast(vocab)), "doc_id long, batch int, words binary, paragraphs binary"))
+    if not len(vocab):
+        return vocab, np.zeros((0, 1)), bags
+    # bags are a small part of the texts; fewer partitions return fewer matrices
+    bags = bags.coalesce(max(1, 2 * sc.defaultParallelism))
+    total = bags.count()
+    share = min(1.0, SAMPLE / max(1, total))
+    drawn = bags.where(F.pmod(F.xxhash64("doc_id", "words"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)) + 1)).select("words", "paragraphs")
+    # a few paragraphs of each drawn document: the first ones of long texts, which only start the topics
+    rows = drawn.select(F.expr("substring(words, 1, 4000)").alias("words"), F.expr("substring(paragraphs, 1, 4000)").alias("paragraphs")).collect()
+    sample = sorted(((np.frombuffer(r.words, np.int32), np.frombuffer(r.paragraphs, np.int32)) for r in rows), key=lambda x: (len(x[0]), x[0].tobytes()))
+    mass = start(sample, df, n, TOPICS) * max(1, total)
+    alpha = np.full(mass.shape[1], ALPHA, np.float32)
+    for k in range(round(epochs * BATCHES)):
+        found = _counts(bags.where(F.col("batch") == k % BATCHES), _shares(mass), alpha) * BATCHES
+        weight = 1.0 if k == 0 else (k + 1) ** -DECAY
+        mass = (1 - weight) * mass + weight * found if found.any() else mass
+    return vocab, mass, bags
+
+
+def _shares(mass: np.ndarray) -> np.ndarray:
+    return ((mass + ETA) / (mass + ETA).sum(0)).astype(np.float32)
+
+
+def fit(documents: DataFrame, labels: DataFrame, items: DataFrame, subjects: DataFrame, **options) -> tuple[Topics, DataFrame]:
+    """The topic model mapped to subjects, and the documents as bags of vocabulary words."""
+    classes = [r.class_id for r in subjects.where("class_id is not null").select("class_id").distinct().orderBy("class_id").limit(MAX_SUBJECTS + 1).collect()]
+    if len(classes) > MAX_SUBJECTS:
+        raise ValueError(f"more than {MAX_SUBJECTS} subjects")
+    vocab, mass, bags = topics(documents, **options)
+    if not len(vocab):
+        return Topics(vocab, mass, np.zeros(1), [-1], classes, (mass, [-1])), bags
+    counts = label_counts(bags, labels, items, vocab, classes)
+    subject = np.array(mapped(_shares(mass), counts))
+    loose = np.flatnonzero(subject < 0)
+    owned = [c for c in range(len(classes)) if (subject == c).any()]
+    groups = [np.flatnonzero(subject == c) for c in owned] + [loose[k::BACKGROUND] for k in range(BACKGROUND) if len(loose[k::BACKGROUND])]
+    raw = (_shares(mass), subject.tolist())
+    mass = np.stack([mass[:, g].sum(1) for g in groups], 1)
+    alpha = np.full(len(groups), ALPHA, np.float32)
+    for _ in range(ROUNDS):
+        mass = _counts(bags, _shares(mass), alpha)
+    return Topics(vocab, _shares(mass), alpha, [*owned, *[-1] * (len(groups) - len(owned))], classes, raw), bags
+
+
+def mapped(phi: np.ndarray, counts: np.ndarray) -> list[int]:
+    """The subject of each topic: its top terms vote with their shares among labelled texts; -1 if they point nowhere.
+
+    Top terms are frequent in the topic and more so than elsewhere."""
+    share = (counts + 1 / max(1, len(counts))) / (counts.sum(0) + 1)
+    all_topics = phi.mean(1)
     out = []
     for t in range(phi.shape[1]):
-        terms = np.argsort(-phi[:, t])[:top]
-        terms = terms[counts[:, terms].sum(0) > 0]
-        if not len(terms):
-            out.append(-1)
-            continue
-        weight = phi[terms, t] / phi[terms, t].sum()
-        vote, base = share[:, terms] @ weight, even[:, terms] @ weight
-        best = int((vote - base).argmax())
-        out.append(best if vote[best] - base[best] >= VOTE * (1 - base[best]) else -1)
+        terms = np.argsort(-phi[:, t] * np.log(np.maximum(phi[:, t] / (all_topics + 1e-12), 1e-3)))[:TOP_TERMS]
+        vote = share[:, terms] @ (phi[terms, t] / phi[terms, t].sum())
+        best = int(vote.argmax()) if len(vote) else 0
+        out.append(best if len(vote) and vote[best] >= VOTE and counts[:, terms].any() else -1)
     return out
 
 
@@ -293,10 +370,10 @@ def _assign(shared):
     return run
 
 
-def subjects(documents: DataFrame, labels: DataFrame, items: DataFrame, taxonomy: DataFrame) -> DataFrame:
+def subjects(documents: DataFrame, labels: DataFrame, items: DataFrame, taxonomy: DataFrame, **options) -> DataFrame:
     """(doc_id, class_id, paragraphs, share): the subjects of each document, the paragraphs devoted to them, their share of its subject words."""
-    model, bags = fit(documents, labels, items, taxonomy)
-    if not len(model.vocab):
+    model, bags = fit(documents, labels, items, taxonomy, **options)
+    if not len(model.vocab) or not any(s >= 0 for s in model.subject):
         return documents.sparkSession.createDataFrame([], "doc_id long, class_id string, paragraphs int, share double")
     shared = documents.sparkSession.sparkContext.broadcast((model.phi, model.alpha, model.subject, model.classes))
     return bags.mapInPandas(_assign(shared), "doc_id long, class_id string, paragraphs int, share double")
@@ -320,25 +397,37 @@ def _spelt(wanted: np.ndarray):
 
 
 def top_terms(documents: DataFrame, labels: DataFrame, items: DataFrame, taxonomy: DataFrame, top: int = 20) -> DataFrame:
-    """(topic, class_id, rank, term, weight): each topic's top terms and the subject they map it to, for inspection."""
+    """(topic, class_id, rank, term, weight): the top terms of each topic, fitted without labels, and the subject they map it to."""
     model, _ = fit(documents, labels, items, taxonomy)
-    wanted = np.unique(model.vocab[np.argsort(-model.phi, axis=0)[:top]])
+    phi, subject = model.raw
+    wanted = np.unique(model.vocab[np.argsort(-phi, axis=0)[:top]])
     spelt = documents.where("length(text) > 0").select("text").mapInPandas(_spelt(wanted), "h long, term string, n long").groupBy("h", "term").agg(F.sum("n").alias("n"))
     best = spelt.groupBy("h").agg(F.min_by("term", F.struct(-F.col("n"), F.col("term"))).alias("term")).collect()  # topics times top at most
     name = {int(np.int64(r.h).view(np.uint64)): r.term for r in best}
     rows = []
-    for t in range(model.phi.shape[1]):
-        for rank, w in enumerate(np.argsort(-model.phi[:, t])[:top], 1):
-            subject = model.subject[t]
-            rows.append((t, model.classes[subject] if subject >= 0 else None, rank, name.get(int(model.vocab[w])), round(float(model.phi[w, t]), 6)))
+    for t in range(phi.shape[1] if len(phi) else 0):
+        for rank, w in enumerate(np.argsort(-phi[:, t])[:top], 1):
+            rows.append((t, model.classes[subject[t]] if subject[t] >= 0 else None, rank, name.get(int(model.vocab[w])), round(float(phi[w, t]), 6)))
     return documents.sparkSession.createDataFrame(rows, "topic int, class_id string, rank int, term string, weight double")
 
 
+def held_out(documents: DataFrame, labels: DataFrame, items: DataFrame, taxonomy: DataFrame, share: float = 0.3) -> DataFrame:
+    """(documents, labels, found, both, precision, recall): the subjects of documents whose labels, drawn by hash, were kept from
+    the mapping, against those labels. Reviewers erred now and then, so neither can reach 1."""
+    kept = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1000)) < int(1000 * share)
+    test = labels.where(kept & F.col("class_id").isNotNull()).select("doc_id", "class_id").distinct()
+    got = found(documents, labels.where(~kept), items.where("false"), taxonomy).join(test.select("doc_id").distinct(), "doc_id", "left_semi")
+    both = got.join(test, ["doc_id", "class_id"], "left_semi")
+    one = test.agg(F.count_distinct("doc_id").alias("documents"), F.count("*").alias("labels")).withColumn("k", F.lit(1))
+    one = one.join(got.agg(F.count("*").alias("found")).withColumn("k", F.lit(1)), "k").join(both.agg(F.count("*").alias("both")).withColumn("k", F.lit(1)), "k")
+    return one.select("documents", "labels", "found", "both", F.round(F.try_divide("both", "found"), 6).alias("precision"), F.round(F.try_divide("both", "labels"), 6).alias("recall"))
+
+
 def composition(documents: DataFrame, labels: DataFrame, items: DataFrame, taxonomy: DataFrame) -> DataFrame:
     """(class_id, documents): the corpus by subject."""
     return subjects(documents, labels, items, taxonomy).groupBy("class_id").agg(F.count_distinct("doc_id").alias("documents"))
 
 
-def found(documents: DataFrame, labels: DataFrame, items: DataFrame, taxonomy: DataFrame) -> DataFrame:
+def found(documents: DataFrame, labels: DataFrame, items: DataFrame, taxonomy: DataFrame, **options) -> DataFrame:
     """(doc_id, class_id) of the assigned subjects."""
-    return subjects(documents, labels, items, taxonomy).select("doc_id", "class_id").distinct()
+    return subjects(documents, labels, items, taxonomy, **options).select("doc_id", "class_id").distinct()

@@ -139,12 +139,34 @@ def test_subjects(spark, archive):
     items = spark.createDataFrame([(None, None), ("S1", ""), ("nope", "x")], "label string, query_text string")
     classes = spark.createDataFrame([("S1",), ("S2",), (None,), ("S1",)], "class_id string")
     got = {}
-    for r in subjects.found(docs, labels, items, classes).collect():
+    # an archive of two subjects: their words are in more documents than in one of many
+    for r in subjects.found(docs, labels, items, classes, stop_share=0.2).collect():
         got.setdefault(r.doc_id, set()).add(r.class_id)
     held = {k: s for k, (_, s) in truth.items() if k >= 64}
     assert sum(got.get(k) == {s} for k, s in held.items()) / len(held) >= 0.95
     assert 900 not in got and 901 not in got
     assert subjects.found(docs.limit(0), labels, items, classes).count() == 0
+    assert subjects.found(docs, labels.limit(0), items, classes, stop_share=0.2).count() == 0
+    many = spark.createDataFrame([(f"T{k}",) for k in range(1001)] + [("S1",), ("S2",)], "class_id string")
+    got = subjects.found(docs, labels, items, many, stop_share=0.2).groupBy("class_id").count().collect()
+    assert {r.class_id for r in got} == {"S1", "S2"}
+
+
+def test_topics_are_learned(spark, archive):
+    """The rounds matter: documents are likelier under the fitted topics than under those they start from."""
+    docs, _, truth = archive
+    likelihood = []
+    for epochs in (0, 2):
+        vocab, mass, bags = subjects.topics(docs, epochs=epochs, stop_share=0.2)
+        phi, alpha = subjects._shares(mass), np.full(mass.shape[1], subjects.ALPHA, np.float32)
+        total = words = 0
+        for r in bags.collect():
+            w = np.frombuffer(r.words, np.int32)
+            theta = subjects.infer(w, np.zeros(len(w), int), phi, alpha).sum(0) + alpha
+            total += np.log(phi[w] @ (theta / theta.sum())).sum()
+            words += len(w)
+        likelihood.append(total / words)
+    assert likelihood[1] > likelihood[0] + 0.1
 
 
 def test_subject_paragraphs():
