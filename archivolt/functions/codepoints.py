@@ -6,8 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
-#: Code points from here on share the table entry of this one.
-TABLE_SIZE = 0x3000
+#: An entry for every code point.
+TABLE_SIZE = 0x110000
 
 
 def slices(texts: list[str | None], limit: int = 1_000_000) -> Iterator[tuple[int, int]]:
@@ -24,11 +24,11 @@ def slices(texts: list[str | None], limit: int = 1_000_000) -> Iterator[tuple[in
 
 
 def join(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(code points clipped to the table, start of each text): the texts one after another, a 0 after each."""
+    """(code points, start of each text): the texts one after another, a 0 after each."""
     body = "\0".join([*((t or "").replace("\0", " ") for t in texts), ""])
     cp = np.frombuffer(body.encode("utf-32-le", "surrogatepass"), np.uint32)
     lengths = np.fromiter((len(t) if t else 0 for t in texts), np.int64, len(texts)) + 1
-    return np.minimum(cp, TABLE_SIZE - 1).astype(np.int32), np.cumsum(lengths) - lengths
+    return cp.view(np.int32), np.cumsum(lengths) - lengths
 
 
 def lookup(**classes: str) -> dict[str, np.ndarray]:
