@@ -309,7 +309,7 @@ class Decoder:
 
     def _undo(self, text: str, gain: np.ndarray, margin: float, names: dict[str, None]) -> str | None:
         """The text before the likeliest chain that beats clean text by the margin, decodes strictly and then reads clean."""
-        for k in np.argsort(-gain[:-1])[:4]:
+        for k in np.argsort(-gain[:-1]):
             if k == 0 or gain[k] <= margin:
                 break
             done = self._restore(text, CHAINS[k - 1]) if LOST in text else invert(text, CHAINS[k - 1])

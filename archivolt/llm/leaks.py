@@ -6,7 +6,8 @@ the passages of the items meet by cosine in that space. A candidate pair is kept
 by the longest common subsequence of words around it: the longest dense run of the item must cover a third of its words.
 
 Bounds: the axes are fitted on a bounded sample of passages, drawn by hash; every passage of every document is searched.
-Items are a fixed small table, matched in blocks.
+Items are a fixed small table. Their passages are dealt to cells of the latent space; by the triangle inequality of angles a
+passage skips every cell whose members must all lie beyond the least cosine, so no candidate is lost.
 
 Defined cases: rows without a doc_id are left out; null texts match nothing; an item without words matches nothing; items shorter than a passage are one passage;
 repeated documents are found alike; words split by a line break count as differing words.
@@ -49,37 +50,46 @@ def _halves(owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _df(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    df, n = np.zeros(BUCKETS, np.int64), 0
+    df, n, passages = np.zeros(BUCKETS, np.int64), 0, 0
     for pdf in batches:
         texts = pdf["text"].tolist()
         for lo, hi in codepoints.slices(texts):
             h, owner, _, _ = wordhash.words(texts[lo:hi])
             df += np.bincount(np.unique(owner * BUCKETS + _bucket(h)) % BUCKETS, minlength=BUCKETS)
             n += hi - lo
+            passages += len(_halves(owner)[0])
     seen = np.flatnonzero(df)
-    yield pd.DataFrame({"bucket": np.append(seen, -1), "n": np.append(df[seen], n)})
+    yield pd.DataFrame({"bucket": np.append(seen, [-1, -2]), "n": np.append(df[seen], [n, passages])})
 
 
-def frequencies(documents: DataFrame) -> tuple[np.ndarray, int]:
-    """Document frequency of each bucket, and the number of documents, over all documents: BUCKETS numbers reach the driver."""
+def frequencies(documents: DataFrame) -> tuple[np.ndarray, int, int]:
+    """Document frequency of each bucket, the number of documents and of passages, over all of them: BUCKETS numbers reach the driver."""
     rows = documents.where("length(text) > 0").select("text").mapInPandas(_df, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
-    df, n = np.zeros(BUCKETS, np.int64), 0
+    df, size = np.zeros(BUCKETS, np.int64), {-1: 0, -2: 0}
     for r in rows:
         if r.bucket < 0:
-            n = r.n
+            size[r.bucket] = r.n
         else:
             df[r.bucket] = r.n
-    return df, n
+    return df, size[-1], size[-2]
 
 
-def _passages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        texts = pdf["text"].tolist()
-        for lo, hi in codepoints.slices(texts):
-            h, owner, _, _ = wordhash.words(texts[lo:hi])
-            b = _bucket(h).astype(np.int32)
-            starts, _ = _halves(owner)
-            yield pd.DataFrame({"words": [x.tobytes() for x in np.split(b, starts[1:])]})
+def _passages(share: float):
+    """Passages, each drawn by a hash of its words."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            texts = pdf["text"].tolist()
+            for lo, hi in codepoints.slices(texts):
+                h, owner, _, _ = wordhash.words(texts[lo:hi])
+                if not len(h):
+                    continue
+                starts, _ = _halves(owner)
+                draw = (np.add.reduceat(h, starts) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(34)
+                parts = np.split(_bucket(h).astype(np.int32), starts[1:])
+                yield pd.DataFrame({"words": [parts[k].tobytes() for k in np.flatnonzero(draw < share * (1 << 30))]})
+
+    return run
 
 
 def _power(shared):
@@ -107,13 +117,14 @@ def _power(shared):
     return run
 
 
-def axes(documents: DataFrame, df: np.ndarray, n: int, k: int = AXES, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
+def axes(documents: DataFrame, df: np.ndarray, n: int, total: int, k: int = AXES, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
     """(idf, right singular vectors: buckets x k) of the TF-IDF passages, from a bounded sample of them."""
     idf = np.log((n + 1) / (df + 1)).astype(np.float32)
-    total = int(df.sum()) * 2 // HALF + 1  # passages are about as many as distinct words of documents by their length
-    share = min(1.0, 2 * sample / total)
-    drawn = documents.where((F.length("text") > 0) & (F.pmod(F.xxhash64("doc_id", "document_id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)) + 1)))
-    passages = cut(drawn.select("text").mapInPandas(_passages, "words binary").where(F.length("words") > 0).limit(2 * sample).repartition(4))
+    # documents are drawn at four times the share, and of their passages a quarter: neither one long text nor one copied often decides
+    share = min(1.0, sample / max(1, total))
+    wide = min(1.0, 4 * share)
+    drawn = documents.where((F.length("text") > 0) & (F.pmod(F.xxhash64("doc_id", "document_id"), F.lit(1 << 30)) < F.lit(int(wide * (1 << 30)) + 1)))
+    passages = cut(drawn.select("text").mapInPandas(_passages(share / wide), "words binary").where(F.length("words") > 0).repartition(4))
     sc = documents.sparkSession.sparkContext
     g = np.linalg.qr(np.random.default_rng(SEED).normal(size=(BUCKETS, k + 8)).astype(np.float32))[0]
     for _ in range(ROUNDS):
@@ -139,6 +150,41 @@ class Matcher:
         self.words = [h[owner == k] for k in range(len(items))]
         self.texts = [[t[a:b].lower() for a, b in zip(start[owner == k], end[owner == k])] for k, (_, t) in enumerate(items)]
         self.query, self.query_item, self.query_at, self.query_bits = self.embed(h, owner)
+        self.cells = self._cells(self.query)
+
+    @staticmethod
+    def _cells(query: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """(centres, least cosine with the centre that a passage needs, members) of about as many cells as each has members."""
+        count = int(np.sqrt(len(query)))
+        if count < 2:
+            return np.zeros((1, query.shape[1]), np.float32), np.array([-2.0], np.float32), [np.arange(len(query))]
+        centre = query[np.random.default_rng(SEED).choice(len(query), count, replace=False)].copy()
+        for _ in range(8):
+            near = (query @ centre.T).argmax(1)
+            for c in range(count):
+                if (near == c).any():
+                    centre[c] = query[near == c].sum(0)
+                    centre[c] /= np.linalg.norm(centre[c]) + 1e-9
+        near = (query @ centre.T).argmax(1)
+        members = [np.flatnonzero(near == c) for c in range(count)]
+        wide = np.array([np.arccos(np.clip((query[m] @ centre[c]).min(initial=1.0), -1, 1)) for c, m in enumerate(members)])
+        return centre, np.cos(np.minimum(np.pi, wide + np.arccos(COSINE))).astype(np.float32) - 1e-4, members
+
+    def _near(self, vec: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(passage, item passage, cosine) of all pairs above the least cosine."""
+        centre, need, members = self.cells
+        reach = vec @ centre.T >= need
+        p, q, c = [], [], []
+        for k, m in enumerate(members):
+            rows = np.flatnonzero(reach[:, k])
+            if len(rows) and len(m):
+                cos = vec[rows] @ self.query[m].T
+                i, j = np.nonzero(cos > COSINE)
+                p.append(rows[i])
+                q.append(m[j])
+                c.append(cos[i, j])
+        none = np.zeros(0, np.int64)
+        return (np.concatenate(p), np.concatenate(q), np.concatenate(c)) if p else (none, none, np.zeros(0, np.float32))
 
     def embed(self, h: np.ndarray, owner: np.ndarray):
         """Unit vectors of passages of two halves, their text and first word, and the bits of their rare words."""
@@ -174,15 +220,14 @@ class Matcher:
         first_word = np.searchsorted(owner, np.arange(len(texts)))
         best: dict[tuple[int, int], list] = {}
         for lo in range(0, len(vec), 8192):
-            cos = vec[lo : lo + 8192] @ self.query.T
-            p, q = np.nonzero(cos > COSINE)
+            p, q, cos = self._near(vec[lo : lo + 8192])
             if not len(p):
                 continue
             common = np.zeros(len(p), np.int64)
             for w in range(_SIGNATURE):
                 common += np.bitwise_count(bits[lo + p, w] & self.query_bits[q, w])
             fine = common >= RARE_COMMON
-            for x, y, c in zip((p[fine] + lo).tolist(), q[fine].tolist(), cos[p[fine], q[fine]].tolist()):
+            for x, y, c in zip((p[fine] + lo).tolist(), q[fine].tolist(), cos[fine].tolist()):
                 best.setdefault((int(text[x]), int(self.query_item[y])), []).append((x, c))
         out = []
         for (t, item), hits in best.items():
@@ -297,23 +342,16 @@ def _search(shared):
     return run
 
 
-#: The most items handed to the workers at once; more are matched in blocks of so many.
-BLOCK = 2000
-
-
 def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, document_id, evaluation_item_id, covered, cosine, start_char, end_char): the items found in each document."""
+    """(doc_id, document_id, evaluation_item_id, covered, cosine, start_char, end_char): the items found in each document.
+
+    The items are a fixed table of held-out passages; the corpus is searched once, however many there are."""
     spark = documents.sparkSession
-    stated = [(r.evaluation_item_id, r.query_text) for r in items.where("evaluation_item_id is not null and length(query_text) > 0").select("evaluation_item_id", "query_text").groupBy("evaluation_item_id").agg(F.min("query_text").alias("query_text")).orderBy("evaluation_item_id").toLocalIterator()]  # a fixed table of held-out items
-    df, n = frequencies(documents)
-    idf, v = axes(documents, df, n)
-    texts = documents.where("doc_id is not null and length(text) > 0").select("doc_id", "document_id", "text")
-    out = None
-    for lo in range(0, max(1, len(stated)), BLOCK):
-        shared = spark.sparkContext.broadcast(Matcher(stated[lo : lo + BLOCK], idf, v, df, n))
-        part = texts.mapInPandas(_search(shared), _OUT)
-        out = part if out is None else out.unionByName(part)
-    return out
+    stated = [(r.evaluation_item_id, r.query_text) for r in items.where("evaluation_item_id is not null and length(query_text) > 0").select("evaluation_item_id", "query_text").groupBy("evaluation_item_id").agg(F.min("query_text").alias("query_text")).orderBy("evaluation_item_id").toLocalIterator()]
+    df, n, passages = frequencies(documents)
+    idf, v = axes(documents, df, n, passages)
+    shared = spark.sparkContext.broadcast(Matcher(stated, idf, v, df, n))
+    return documents.where("doc_id is not null and length(text) > 0").select("doc_id", "document_id", "text").mapInPandas(_search(shared), _OUT)
 
 
 def found(documents: DataFrame, items: DataFrame) -> DataFrame:

@@ -13,11 +13,14 @@ from __future__ import annotations
 
 import base64
 import bisect
+import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
 
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +30,11 @@ from archivolt.session import cut
 TOKENIZERS, RANKS = "/opt/tokenizers", "byte_bpe_multi_50k.tiktoken"
 #: Open windows of a partition, items of a partition, share of a window below which it is packed again.
 OPEN, PARTITION_ITEMS, FULL = 4096, 20_000, 0.98
-#: The longest stretch, in characters, handed to the tokenizer at once; longer ones are cut at a line or space.
+#: A fixed small table; a larger one is refused.
+MAX_PROFILES = 10_000
+#: Characters handed to the tokenizer at once; a longer text is cut only where its pre-splitting ends a piece anyway.
 STRETCH = 200_000
+_SEAM = re.compile(r"(?<=[^\s]) (?=[^\W\d_])")
 #: Fixed value: the pre-splitting pattern that belongs to these byte-level vocabularies.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 
@@ -46,19 +52,18 @@ def encoder(path: str):
 
 
 def stretches(text: str, limit: int = STRETCH) -> Iterator[str]:
-    """The text in stretches of at most limit characters, cut after a line end, else before a space, else anywhere."""
+    """The text in stretches of about limit characters, each cut before a single space between a sign and a letter, where the
+    pattern always starts a new piece; so the tokens are those of the whole text. Without such a place a stretch is longer."""
     at = 0
-    while len(text) - at > limit:
-        end = text.rfind("\n", at, at + limit) + 1 or text.rfind(" ", at, at + limit)
-        end = end if end > at else at + limit
-        yield text[at:end]
-        at = end
+    while len(text) - at > limit and (m := _SEAM.search(text, at + limit)):
+        yield text[at : m.start()]
+        at = m.start()
     yield text[at:]
 
 
-def _count(path: str):
+def _count(name: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(path).encode_ordinary
+        encode = encoder(SparkFiles.get(name)).encode_ordinary
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_tokens": [sum(len(encode(s)) for s in stretches(t)) for t in pdf["text"]]})
 
@@ -66,8 +71,11 @@ def _count(path: str):
 
 
 def token_counts(documents: DataFrame, tokenizers: str = TOKENIZERS, ranks: str = RANKS) -> DataFrame:
-    """(doc_id, n_tokens) of every document with a text."""
-    return documents.where("doc_id is not null and length(text) > 0").select("doc_id", "text").mapInPandas(_count(f"{tokenizers}/{ranks}"), "doc_id long, n_tokens long")
+    """(doc_id, n_tokens) of every document with a text. The ranks, a file of a megabyte, are sent to the executors once."""
+    sc = documents.sparkSession.sparkContext
+    if not os.path.exists(os.path.join(SparkFiles.getRootDirectory(), ranks)):
+        sc.addFile(os.path.join(tokenizers, ranks))
+    return documents.where("doc_id is not null and length(text) > 0").select("doc_id", "text").mapInPandas(_count(ranks), "doc_id long, n_tokens long")
 
 
 class Windows:
@@ -175,8 +183,12 @@ def _slots(df: DataFrame, key: str, size: str, per_slot: int) -> DataFrame:
 
 def pack(documents: DataFrame, profiles: DataFrame, tokenizers: str = TOKENIZERS, ranks: str = RANKS, open_windows: int = OPEN, partition_items: int = PARTITION_ITEMS) -> DataFrame:
     """(profile_id, container_id, doc_id, part, token_start, n_tokens, capacity): every document's place in each profile."""
+    sizes = [(r.profile_id, int(r.capacity_tokens)) for r in profiles.where("purpose = 'packing' and capacity_tokens > 0").orderBy("profile_id").limit(MAX_PROFILES + 1).collect()]
+    if len(sizes) > MAX_PROFILES:
+        raise ValueError(f"more than {MAX_PROFILES} packing profiles")
+    if not sizes:
+        return documents.sparkSession.createDataFrame([], "profile_id string, container_id string, doc_id long, part int, token_start long, n_tokens long, capacity long")
     counts = cut(token_counts(documents, tokenizers, ranks))
-    sizes = [(r.profile_id, int(r.capacity_tokens)) for r in profiles.where("purpose = 'packing' and capacity_tokens > 0").orderBy("profile_id").limit(1000).collect()]  # a fixed small table
     each = F.array(*[F.struct(F.lit(p).alias("profile_id"), F.lit(c).cast("long").alias("capacity")) for p, c in sizes])
     cuts = counts.select("doc_id", "n_tokens", F.explode(each).alias("p")).select("doc_id", "n_tokens", "p.*")
     start = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_tokens") - 1) / F.col("capacity")))).alias("part")

@@ -28,6 +28,8 @@ _LEVELS = (
     (CLAUSE, re.compile(r"[,;:–—]\s+")),
     (WORD, re.compile(r"\s+")),
 )
+#: A fixed small table; a larger one is refused.
+MAX_PROFILES = 10_000
 SCHEMA = "chunk_id string, document_id string, ordinal int, text string, piece_start long, piece_end long, start_char long, end_char long"
 
 
@@ -102,16 +104,20 @@ _TYPES = {"ordinal": "int32", "piece_start": "int64", "piece_end": "int64", "sta
 def oversized(chunks: DataFrame, profiles: DataFrame) -> DataFrame:
     """Chunks longer, in code points, than their profile allows. The filter runs in the JVM, before any Python.
 
-    The profiles, a fixed table of a few rows, become a CASE expression; a null or unknown chunker takes the default."""
-    rows = profiles.select("chunker_id", "max_chars", "overlap_chars", "is_default").where("max_chars is not null").orderBy("chunker_id").limit(1000).collect()
+    The profiles, a fixed table, become a map; a null or unknown chunker takes the default. Too many are refused."""
+    rows = profiles.select("chunker_id", "max_chars", "overlap_chars", "is_default").where("max_chars is not null").orderBy("chunker_id").limit(MAX_PROFILES + 1).collect()
+    if len(rows) > MAX_PROFILES:
+        raise ValueError(f"more than {MAX_PROFILES} chunk profiles")
     default = next((r for r in rows if r.is_default), None)
 
+    limits = {r.chunker_id: r for r in reversed(rows) if r.chunker_id is not None}
+
     def pick(field: str):
-        out = F.lit(None if default is None else default[field]).cast("long")
-        for r in rows:
-            if r.chunker_id is not None:
-                out = F.when(F.col("chunker_id") == r.chunker_id, F.lit(r[field]).cast("long")).otherwise(out)
-        return out
+        own = F.lit(None if default is None else default[field]).cast("long")
+        if not limits:
+            return own
+        known = F.create_map(*[F.lit(x) if isinstance(x, str) else F.lit(x[field]).cast("long") for kv in sorted(limits.items()) for x in kv])
+        return F.when(F.col("chunker_id").isin(*limits), known[F.col("chunker_id")]).otherwise(own)
 
     return (
         chunks.select("chunk_id", "document_id", "text", "start_char", pick("max_chars").alias("max_chars"), F.coalesce(pick("overlap_chars"), F.lit(0)).alias("overlap_chars"))

@@ -66,7 +66,7 @@ def _bags(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     blank[ends[empty | (cp[ends] == 0)]] = 1
     paragraph = np.cumsum(blank)[a]
     # two letters are an abbreviation, except in scripts that write words with one or two
-    keep = plain & ((b - a > 2) | (b - a > 1) & (cp[a] >= 0x2E80))
+    keep = plain & ((b - a > 2) | (cp[a] >= 0x2E80))
     return h[keep], owner[keep], paragraph[keep]
 
 

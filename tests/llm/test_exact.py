@@ -204,6 +204,53 @@ def test_leaks_find_a_third_of_an_item_in_foreign_text():
     assert [(t, i) for t, i, *_ in matcher.search([text, " ".join(page)])] == [(0, 0)]
 
 
+def test_words_of_scripts_without_spaces():
+    from archivolt.functions import wordhash
+
+    h, owner, a, b = wordhash.words(["这是测试 text。", "Ünd x", "測試Testテスト", "한국어 문서"])
+    assert [(int(o), int(x), int(y)) for o, x, y in zip(owner, a, b)] == [(0, 0, 1), (0, 1, 2), (0, 2, 3), (0, 3, 4), (0, 5, 9), (1, 0, 3), (1, 4, 5), (2, 0, 1), (2, 1, 2), (2, 2, 6), (2, 6, 7), (2, 7, 8), (2, 8, 9), (3, 0, 3), (3, 4, 6)]
+
+
+def test_tokens_of_long_texts_are_those_of_the_whole():
+    from archivolt.llm import packing
+
+    rng = random.Random(1)
+    encode = packing.encoder("/opt/tokenizers/byte_bpe_multi_50k.tiktoken").encode_ordinary
+    for _ in range(100):
+        t = "".join(rng.choice(["ab", " ", "\n", "  ", ".", "12", "ж", "-", " c"]) for _ in range(400))
+        assert encode(t) == [x for s in packing.stretches(t, 50) for x in encode(s)]
+    long = "".join(rng.choice(["word ", "слово ", "x" * 90 + " ", "1 2\n"]) for _ in range(12_000))
+    assert len(long) > 200_000 and len(encode(long)) == sum(len(encode(s)) for s in packing.stretches(long))
+
+
+def test_many_profiles(spark):
+    """The 1,001st profile counts, and no packing profile is an empty result."""
+    from archivolt.llm import packing, pieces
+
+    docs = spark.createDataFrame([(k, "some words here") for k in range(20)], "doc_id long, text string")
+    many = spark.createDataFrame([(f"p{k:05d}", "packing", 8) for k in range(1001)], "profile_id string, purpose string, capacity_tokens long")
+    assert packing.pack(docs, many).select("profile_id").distinct().count() == 1001
+    assert packing.pack(docs, many.where("purpose = 'none'")).collect() == []
+    chunks = spark.createDataFrame([("a", "d", "one two three four", 0, "k01000"), ("b", "d", "one two three four", 0, "k00001")], "chunk_id string, document_id string, text string, start_char long, chunker_id string")
+    limits = spark.createDataFrame([(f"k{k:05d}", 5 if k == 1000 else 100, 0, k == 0) for k in range(1001)], "chunker_id string, max_chars long, overlap_chars long, is_default boolean")
+    assert [r.chunk_id for r in pieces.found(chunks, limits).collect()] == ["a"]
+
+
+def test_items_meet_passages_by_cells():
+    """Cells skip no pair above the least cosine, with some thousand items."""
+    from archivolt.llm import leaks
+
+    rng = np.random.default_rng(2)
+    words = [" ".join(f"w{x}" for x in rng.integers(0, 3000, 24)) for _ in range(2001)]
+    v = rng.normal(size=(leaks.BUCKETS, 16)).astype(np.float32)
+    m = leaks.Matcher([(f"i{k}", t) for k, t in enumerate(words)], np.ones(leaks.BUCKETS, np.float32), v, np.ones(leaks.BUCKETS, np.int64), 100)
+    vec = rng.normal(size=(300, 16)).astype(np.float32)
+    vec[:100] = m.query[:100] + 0.2 * vec[:100]
+    vec /= np.linalg.norm(vec, axis=1, keepdims=True)
+    p, q, _ = m._near(vec)
+    assert set(zip(p.tolist(), q.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(vec @ m.query.T > leaks.COSINE))))
+
+
 def test_top_terms_are_spelt_from_all_texts():
     import numpy as np
     import pandas as pd

@@ -130,6 +130,10 @@ def test_leaks(spark, archive):
     table = spark.createDataFrame([*items, ("null", None), ("none", ""), items[0], (None, "text")], "evaluation_item_id string, query_text string").withColumn("text", F.lit("t"))
     got = sorted(tuple(r) for r in leaks.found(docs.unionByName(extra), table).collect())
     assert got == [(10_000, "i0"), (10_001, "i1"), (10_003, "i3"), (10_004, "i4")]
+    chinese = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(60))
+    asian = spark.createDataFrame([(20_000, "z", "开头。" + chinese[10:50] + "。结尾"), (20_001, "y", chinese[::-1])], "doc_id long, document_id string, text string")
+    one = spark.createDataFrame([("cn", chinese)], "evaluation_item_id string, query_text string")
+    assert [tuple(r) for r in leaks.found(docs.select("doc_id", "document_id", "text").unionByName(asian), one).collect()] == [(20_000, "cn")]
     assert leaks.found(docs.limit(0), table).count() == 0 and leaks.found(docs, table.limit(0)).count() == 0
 
 
