@@ -7,7 +7,8 @@ in the bundle, each trigram's product with each prototype is tabulated once, and
 products are exact, only the sentence's own norm is taken as that of nearly orthogonal trigrams.
 
 Prototypes are fitted on a bounded sample of labelled rows, by sentence; sentences whose label is wrong move to the nearest
-prototype in further rounds. Garbled texts are first restored, so they count in the language they were written in.
+prototype in further rounds. Garbled texts are first restored, so they count in the language they were written in; the offsets
+of stretches are those of the text as it stands.
 
 Defined cases: null texts and texts without a full sentence are `und` with confidence 0; headings, tables, number lists and
 single words take no part; unsure sentences follow their document; repeated documents are judged alike.
@@ -15,6 +16,7 @@ single words take no part; unsure sentences follow their document; repeated docu
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -199,6 +201,24 @@ def _restored(decoder: encoding.Decoder, texts: list[str | None]) -> list[str |
     return [(decoder.repair_one(t) or (t,))[0] if f else t for t, f in zip(texts, flags)]
 
 
+def _to_raw(judged: pd.DataFrame, raw: list[str | None], restored: list[str | None]) -> None:
+    """Turn offsets in restored texts into those of the texts as they stand.
+
+    No encoding makes or takes a space or line end, so the n-th of them is the same one before and after; sentences end at one."""
+    for k, rows in judged.groupby("text").groups.items():
+        before, after = raw[int(k)], restored[int(k)]
+        if before == after:
+            continue
+        a, b = (np.array([-1, *(m.start() for m in re.finditer("[ \n]", t)), len(t)]) for t in (before, after))
+        start, end = judged.loc[rows, "start"].to_numpy(), judged.loc[rows, "end"].to_numpy()
+        if len(a) == len(b):
+            left, right = np.searchsorted(b, start, side="right") - 1, np.searchsorted(b, end)
+            start, end = a[left] + start - b[left], a[right] + end - b[right]
+        else:
+            start, end = (np.rint(x * (len(before) / max(1, len(after)))).astype(int) for x in (start, end))
+        judged.loc[rows, "start"], judged.loc[rows, "end"] = np.clip(start, 0, len(before)), np.clip(end, 0, len(before))
+
+
 _STRETCHES = "document_id string, start_char long, end_char long, language string, confidence double, sentences int, letters long"
 
 
@@ -211,8 +231,10 @@ def _stretches(shared, whole: bool):
             texts, ids = pdf["text"].tolist(), pdf["document_id"].to_numpy()
             for lo, hi in codepoints.slices(texts, 400_000):
                 part = texts[lo:hi]
-                # offsets of stretches refer to the text as it stands; only whole documents are restored first
-                judged = profiles.judge(_restored(decoder, part) if whole else part)
+                restored = _restored(decoder, part)
+                judged = profiles.judge(restored)
+                if not whole:
+                    _to_raw(judged, part, restored)
                 if whole:
                     key = [judged["text"], judged["language"]]
                 else:

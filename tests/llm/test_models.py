@@ -56,6 +56,18 @@ def test_encoding_round_trip(decoder, chain):
         assert same >= 0.6 * n
 
 
+def test_offsets_of_restored_texts():
+    import pandas as pd
+
+    clean = "Für Heuballen gilt künftig der größere Wert.\nDas Gerät fährt später. The end is near here."
+    raw = clean.encode().decode("cp1252")
+    ends = [(clean.index(x), clean.index(x) + len(x)) for x in ("Für Heuballen gilt künftig der größere Wert.", "Das Gerät fährt später.", "The end is near here.")]
+    judged = pd.DataFrame({"text": [0, 0, 0], "start": [a for a, _ in ends], "end": [b for _, b in ends]})
+    language._to_raw(judged, [raw], [clean])
+    got = [raw[a:b].encode("cp1252").decode() for a, b in zip(judged["start"], judged["end"])]
+    assert got == [clean[a:b] for a, b in ends]
+
+
 def test_encoding_clean_and_odd(decoder):
     rng = random.Random(8)
     clean = [text(rng, lang, "S2", 1) for lang in ("eng", "deu", "rus", "ukr") for _ in range(10)]
