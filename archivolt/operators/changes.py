@@ -56,9 +56,12 @@ def retract_absent(base: DataFrame, snapshot: DataFrame, keys: list[str]) -> Dat
 
 def not_in(df: DataFrame, column: str, excluded: DataFrame, key: str) -> DataFrame:
     """SQL's NOT IN: a null among the excluded removes every row, and rows with a null never survive."""
-    df.createOrReplaceTempView("not_in_rows")
-    excluded.select(key).createOrReplaceTempView("not_in_keys")
-    return df.sparkSession.sql(f"SELECT * FROM not_in_rows WHERE `{column}` NOT IN (SELECT `{key}` FROM not_in_keys)")
+    keys = excluded.select(F.col(key).alias("_key"))
+    if not keys.where("_key is null").isEmpty():
+        return df.where("false")
+    # an ordinary anti join; SQL's own NOT IN would broadcast all excluded keys
+    left = df.join(keys.distinct(), df[column] == F.col("_key"), "left_anti")
+    return left if keys.isEmpty() else left.where(F.col(column).isNotNull())
 
 
 def active_view(derived: DataFrame, occurrences: DataFrame, removed: DataFrame) -> DataFrame:

@@ -32,13 +32,17 @@ class DedupePolicy:
     Registers, rows and least shingles are of sketches; near_links needs none of them."""
 
     shingle: int = 5
-    registers: int = 125
-    rows: int = 5
-    similarity: float = 0.8
+    registers: int = 128
+    rows: int = 2
+    similarity: float = 0.9
     edition: float = 0.45
     min_shingles: int = 5
 
 
+#: The policy of the near-duplicate queries: five words, a similarity of 0.8.
+NEAR = DedupePolicy(similarity=0.8)
+
+
 def sketch(hashes: np.ndarray, registers: int) -> np.ndarray:
     """Register i is the least of (h * coefficient_i + i * mix) mod 2^64 over the hashes; wraps as unsigned numbers do."""
     i = np.arange(registers, dtype=np.uint64)
@@ -49,7 +53,7 @@ def sketch(hashes: np.ndarray, registers: int) -> np.ndarray:
     return out
 
 
-def signature(hashes: str | Column, registers: int = 125) -> Column:
+def signature(hashes: str | Column, registers: int = 128) -> Column:
     """array<bigint> of the registers' bit patterns; empty for a text without shingles."""
 
     @F.pandas_udf("array<bigint>")
@@ -151,14 +155,14 @@ def near_links(distinct: DataFrame, policy: DedupePolicy = DedupePolicy(), least
     return p.select("left", "right", jaccard(F.col("a"), F.col("b")).alias("score")).where(F.col("score") >= least)
 
 
-def near_duplicates(df: DataFrame, identity: str = "doc_id", text: str = "text", policy: DedupePolicy = DedupePolicy()) -> DataFrame:
+def near_duplicates(df: DataFrame, identity: str = "doc_id", text: str = "text", policy: DedupePolicy = NEAR) -> DataFrame:
     """(id, class_id, links, copies): one row a document with its class and its number of proved links between different texts.
 
     class_id is the smallest id of the class. Null texts are classes of their own; texts equal but for case and spaces are copies."""
-    rows = df.select(F.col(identity).alias("id"), F.sha2(normal_key(text), 256).alias("key"), F.col(text).alias("text"))
-    copies = rows.where("key is not null").groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("text").alias("text"))
-    grams = F.transform(shingles(words(F.col("text")), policy.shingle), lambda g: F.xxhash64(g))
-    copies = cut(copies.select("key", "id", "copies", F.array_distinct(grams).alias("grams")))
+    # shingles are hashed where the text is read; copies have equal ones, so no text is shuffled
+    grams = F.array_distinct(F.transform(shingles(words(F.col(text)), policy.shingle), lambda g: F.xxhash64(g)))
+    rows = cut(df.select(F.col(identity).alias("id"), F.sha2(normal_key(text), 256).alias("key"), grams.alias("grams")))
+    copies = cut(rows.where("key is not null").groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.min_by("grams", "id").alias("grams")))
     links = cut(near_links(copies.select("id", "grams"), policy))
     comp = connected_components(copies.select("id"), links.select(F.col("left").alias("src"), F.col("right").alias("dst")))
     degree = links.select(F.explode(F.array("left", "right")).alias("id")).groupBy("id").agg(F.count("*").alias("links"))
@@ -192,3 +196,30 @@ def best_method(edges: DataFrame) -> DataFrame:
 def suppress(documents: DataFrame, overlay: DataFrame, identity: str = "document_id") -> DataFrame:
     """Documents without those the overlay suppresses."""
     return documents.join(overlay.where("suppressed").select(identity).distinct(), identity, "left_anti")
+
+
+def sketches(df: DataFrame, identity: str = "doc_id", text: str = "text", policy: DedupePolicy = DedupePolicy()) -> DataFrame:
+    """(id, exact_key, normalized_key, text_chars, shingles, signature, bands): one row a document with a text.
+
+    Signatures and bands, hashes of `rows` neighbouring registers with their place, are empty below min_shingles."""
+    grams = F.array_distinct(F.transform(shingles(words(F.col(text)), policy.shingle), lambda g: F.xxhash64(g)))
+    base = df.where(F.col(text).isNotNull()).select(F.col(identity).alias("id"), F.sha2(text, 256).alias("exact_key"), F.sha2(normal_key(text), 256).alias("normalized_key"), F.length(text).alias("text_chars"), grams.alias("grams"))
+    long = F.when(F.size("grams") >= policy.min_shingles, F.col("grams")).otherwise(F.array().cast("array<bigint>"))
+    signed = base.select("id", "exact_key", "normalized_key", "text_chars", F.size("grams").alias("shingles"), signature(long, policy.registers).alias("signature"))
+    starts = F.sequence(F.lit(0), F.lit(policy.registers - policy.rows), F.lit(policy.rows))
+    bands = F.transform(starts, lambda i: F.xxhash64(i, F.slice("signature", i + 1, policy.rows)))
+    return signed.withColumn("bands", F.when(F.size("signature") > 0, bands).otherwise(F.array().cast("array<bigint>")))
+
+
+def editions(links: DataFrame, groups: DataFrame) -> DataFrame:
+    """Edition links (left, right, score) without those inside one duplicate group; groups has (id, group_id), at most one an id."""
+    a = groups.select(F.col("id").alias("left"), F.col("group_id").alias("ga"))
+    b = groups.select(F.col("id").alias("right"), F.col("group_id").alias("gb"))
+    j = links.join(a, "left", "left").join(b, "right", "left")
+    return j.where(F.col("ga").isNull() | F.col("gb").isNull() | (F.col("ga") != F.col("gb"))).select("left", "right", "score")
+
+
+def audit(links: DataFrame, policy: DedupePolicy = NEAR) -> DataFrame:
+    """(left, right, method, score, family): every proposed pair with what it was taken for, for the record."""
+    near = F.col("score") >= policy.similarity
+    return links.where(F.col("score") >= policy.edition).select("left", "right", F.when(near, "lexical").otherwise("edition").alias("method"), "score", F.when(near, "duplicate").otherwise("edition").alias("family"))

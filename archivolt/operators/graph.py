@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from archivolt.session import cut
 
+#: Rounds after which an iteration that should have ended raises.
+GUARD = 500
+
 
 def one_hop(edges: DataFrame, start) -> DataFrame:
     """Outgoing edges of a vertex."""
@@ -14,16 +17,22 @@ def one_hop(edges: DataFrame, start) -> DataFrame:
 
 
 def bounded_walk(edges: DataFrame, start, depth: int) -> DataFrame:
-    """(depth, src, dst): every edge step of every walk from start up to the depth, repeats kept; a recursive query."""
-    spark = edges.sparkSession
-    edges.createOrReplaceTempView("walk_edges")
-    seed = f"'{start}'" if isinstance(start, str) else str(start)
-    return spark.sql(f"""
-        WITH RECURSIVE walk(depth, src, dst) AS (
-            SELECT 1, src, dst FROM walk_edges WHERE src = {seed}
-            UNION ALL
-            SELECT w.depth + 1, e.src, e.dst FROM walk w JOIN walk_edges e ON w.dst = e.src WHERE w.depth < {int(depth)})
-        SELECT depth, src, dst FROM walk""")
+    """(depth, src, dst): every edge step of every walk from start up to the depth, repeats kept.
+
+    Each step joins the walks' ends, counted per vertex, to the edges; so walks that meet are carried once with their number."""
+    e = edges.select("src", "dst").dropna()
+    at = e.where(F.col("src") == F.lit(start)).groupBy("src", "dst").agg(F.count("*").alias("n"))
+    out = None
+    for k in range(1, int(depth) + 1):
+        at = cut(at)
+        step = at.select(F.lit(k).alias("depth"), "src", "dst", "n")
+        out = step if out is None else out.union(step)
+        if k < depth:
+            ends = at.groupBy("dst").agg(F.sum("n").alias("n")).withColumnRenamed("dst", "src")
+            at = e.join(ends, "src").groupBy("src", "dst").agg(F.sum("n").alias("n"))
+    if out is None:
+        return e.where("false").select(F.lit(1).alias("depth"), "src", "dst")
+    return out.select("depth", "src", "dst", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("_")).drop("_")
 
 
 def reachable(edges: DataFrame, starts: DataFrame) -> DataFrame:
@@ -54,8 +63,10 @@ def cycle_core(edges: DataFrame) -> DataFrame:
     return e
 
 
-def pagerank(edges: DataFrame, rounds: int = 20, damping: float = 0.85) -> DataFrame:
-    """(id, rank): weighted by edge count; ranks sum to 1, dangling rank is spread evenly."""
+def pagerank(edges: DataFrame, rounds: int | None = None, damping: float = 0.85, tolerance: float = 1e-9) -> DataFrame:
+    """(id, rank): weighted by edge count; ranks sum to 1, dangling rank is spread evenly.
+
+    Rounds end when the ranks move by less than the tolerance in all, or after a stated number of rounds."""
     e = edges.select("src", "dst").dropna().groupBy("src", "dst").agg(F.count("*").alias("w"))
     e = cut(e.join(e.groupBy("src").agg(F.sum("w").alias("total")), "src").select("src", "dst", (F.col("w") / F.col("total")).alias("share")))
     v = cut(e.select(F.col("src").alias("id")).union(e.select("dst")).distinct())
@@ -63,24 +74,60 @@ def pagerank(edges: DataFrame, rounds: int = 20, damping: float = 0.85) -> DataF
     if not n:
         return v.withColumn("rank", F.lit(0.0))
     rank = v.withColumn("rank", F.lit(1.0 / n))
-    for k in range(rounds):
+    for k in range(1, GUARD if rounds is None else rounds + 1):
         flow = e.join(rank, F.col("src") == F.col("id")).groupBy("dst").agg(F.sum(F.col("rank") * F.col("share")).alias("in"))
-        nxt = v.join(flow, v["id"] == flow["dst"], "left").select("id", F.coalesce("in", F.lit(0.0)).alias("in"))
-        nxt = cut(nxt)
+        nxt = cut(rank.join(flow, F.col("id") == F.col("dst"), "left").select("id", F.col("rank").alias("old"), F.coalesce("in", F.lit(0.0)).alias("in")))
         kept = nxt.agg(F.sum("in")).first()[0] or 0.0
-        rank = nxt.select("id", (F.lit((1 - damping) / n + damping * (1 - kept) / n) + damping * F.col("in")).alias("rank"))
-    return rank
+        rank = nxt.select("id", "old", (F.lit((1 - damping) / n + damping * (1 - kept) / n) + damping * F.col("in")).alias("rank"))
+        moved = rank.agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0]
+        rank = rank.drop("old")
+        if moved < tolerance or k == rounds:
+            return rank
+    raise RuntimeError(f"no end after {GUARD} rounds")
+
 
+def label_communities(edges: DataFrame, rounds: int | None = None) -> DataFrame:
+    """(id, community): label propagation on the undirected graph until no label moves; ties go to the smallest label.
 
-def label_communities(edges: DataFrame, rounds: int = 10) -> DataFrame:
-    """(id, community): synchronous label propagation on the undirected graph; ties go to the smallest label."""
-    both = edges.select("src", "dst").where("src <> dst")
+    A vertex keeps its label while that is among the most frequent around it. Labels of even and odd rounds by the hash of the
+    vertex change in turn, so that neighbours can't swap labels for ever. A stated number of rounds ends it before."""
+    both = edges.select("src", "dst").dropna().where("src <> dst")
     both = cut(both.union(both.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
     label = both.select(F.col("src").alias("id")).distinct().withColumn("community", F.col("id"))
-    for _ in range(rounds):
+    still = 0
+    for k in range(GUARD if rounds is None else rounds):
         votes = both.join(label, F.col("dst") == F.col("id")).groupBy("src", "community").agg(F.count("*").alias("n"))
-        label = cut(votes.groupBy("src").agg(F.min_by("community", F.struct(-F.col("n"), F.col("community"))).alias("community")).withColumnRenamed("src", "id"))
-    return label
+        best = votes.groupBy("src").agg(F.min_by(F.struct("community", "n"), F.struct(-F.col("n"), F.col("community"))).alias("b"))
+        own = votes.select(F.col("src").alias("id"), "community", F.col("n").alias("mine"))
+        j = label.join(best, F.col("id") == F.col("src")).join(own, ["id", "community"], "left")
+        turn = F.pmod(F.xxhash64("id"), F.lit(2)) == k % 2
+        moves = turn & (F.coalesce("mine", F.lit(0)) < F.col("b.n"))
+        nxt = cut(j.select("id", F.when(moves, F.col("b.community")).otherwise(F.col("community")).alias("community"), moves.alias("moved")))
+        still = 0 if nxt.where("moved").count() else still + 1
+        label = nxt.drop("moved")
+        if still == 2:
+            return label
+    if rounds is not None:
+        return label
+    raise RuntimeError(f"no end after {GUARD} rounds")
+
+
+def agreement(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(n, ari, nmi): how far two assignments (id, community) of the same vertices agree, from one table of counts.
+
+    Both are 1 for equal partitions, whatever the names; the adjusted Rand index is about 0 for chance."""
+    cell = cut(a.select("id", F.col("community").alias("a")).join(b.select("id", F.col("community").alias("b")), "id").groupBy("a", "b").agg(F.count("*").alias("n")))
+    two = lambda x: x.cast("double") * (x - 1) / 2
+    total = cell.agg(F.sum("n").alias("all"), F.sum(two(F.col("n"))).alias("pairs"), F.sum(F.col("n") * F.log(F.col("n").cast("double"))).alias("h")).withColumn("k", F.lit(1))
+    for side in ("a", "b"):
+        one = cell.groupBy(side).agg(F.sum("n").alias("n")).agg(F.sum(two(F.col("n"))).alias(f"pairs_{side}"), F.sum(F.col("n") * F.log(F.col("n").cast("double"))).alias(f"h_{side}")).withColumn("k", F.lit(1))
+        total = total.join(one, "k")
+    n = F.col("all").cast("double")
+    chance = F.col("pairs_a") * F.col("pairs_b") / (n * (n - 1) / 2)
+    ari = F.try_divide(F.col("pairs") - chance, (F.col("pairs_a") + F.col("pairs_b")) / 2 - chance)
+    ha, hb = (F.log(n) - F.col(f"h_{s}") / n for s in ("a", "b"))
+    mutual = F.log(n) + (F.col("h") - F.col("h_a") - F.col("h_b")) / n
+    return total.select(F.col("all").alias("n"), F.round(F.coalesce(ari, F.lit(1.0)), 6).alias("ari"), F.round(F.coalesce(F.try_divide(2 * mutual, ha + hb), F.lit(1.0)), 6).alias("nmi"))
 
 
 def class_closure(parents: DataFrame, depth: int = 64) -> DataFrame:
@@ -105,9 +152,18 @@ def code_ancestors(df: DataFrame, code: str = "code") -> DataFrame:
 def exports(edges: DataFrame, style: str = "turtle", base: str = "urn:archive:") -> DataFrame:
     """(value): one line an edge as Turtle, JSON-LD or GraphML elements, for write.text."""
     s, d = F.col("src").cast("string"), F.col("dst").cast("string")
+
+    def iri(x):  # signs that an IRI can't hold, percent-encoded
+        return F.regexp_replace(F.regexp_replace(F.url_encode(x), r"\+", "%20"), "%3A", ":")
+
+    def xml(x):
+        for sign, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+            x = F.replace(x, F.lit(sign), F.lit(name))
+        return x
+
     line = {
-        "turtle": F.concat(F.lit(f"<{base}"), s, F.lit(f"> <{base}linked> <{base}"), d, F.lit("> .")),
-        "jsonld": F.to_json(F.struct(F.concat(F.lit(base), s).alias("@id"), F.struct(F.concat(F.lit(base), d).alias("@id")).alias(f"{base}linked"))),
-        "graphml": F.concat(F.lit('<edge source="'), s, F.lit('" target="'), d, F.lit('"/>')),
-    }[style]
+        "turtle": lambda: F.concat(F.lit(f"<{base}"), iri(s), F.lit(f"> <{base}linked> <{base}"), iri(d), F.lit("> .")),
+        "jsonld": lambda: F.to_json(F.struct(F.concat(F.lit(base), iri(s)).alias("@id"), F.struct(F.concat(F.lit(base), iri(d)).alias("@id")).alias(f"{base}linked"))),
+        "graphml": lambda: F.concat(F.lit('<edge source="'), xml(s), F.lit('" target="'), xml(d), F.lit('"/>')),
+    }[style]()
     return edges.dropna(subset=["src", "dst"]).select(line.alias("value"))

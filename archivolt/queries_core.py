@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from archivolt.functions import hashing
-from archivolt.functions.language import detect_language
+from archivolt.functions.language import detect_language, detect_sql
 from archivolt.functions.text import canonical_view, normalize_for_scoring, search_view, shingles, to_source, words
 from archivolt.operators import chunking, dedupe, graph, lexical, vector
 from archivolt.operators.components import connected_components
@@ -129,7 +129,7 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return g.select("doc_id", F.size("g").alias("shingles"), F.size(F.array_distinct("g")).alias("different"))
 
 
-@query("language_detect")
+@query("language_detect", detect_sql("text", "documents", "doc_id"))
 def _(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", detect_language("text").alias("r")).select("doc_id", "r.language", "r.confidence")
 
@@ -315,12 +315,12 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 
 @query("pagerank")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return graph.pagerank(_hierarchy(spark, d), 10).select("id", F.round("rank", 9).alias("rank"))
+    return graph.pagerank(_hierarchy(spark, d)).select("id", F.round("rank", 9).alias("rank"))
 
 
 @query("communities")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return graph.label_communities(_hierarchy(spark, d), 4)
+    return graph.label_communities(_hierarchy(spark, d))
 
 
 @query(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 
@@ -60,9 +61,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder all executors share. The cluster names it in spark.checkpoint.dir; a local one is set only where none is."""
     jsc = spark.sparkContext._jsc.sc()
     if jsc.getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(
-            spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "archivolt-checkpoints")
-        )
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "archivolt-checkpoints"))
     return jsc.getCheckpointDir().get()
 
 

@@ -3,7 +3,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from archivolt.functions import text as t
-from archivolt.functions.language import detect
+from archivolt.functions.language import detect_language
 
 
 @settings(max_examples=60, deadline=None)
@@ -42,7 +42,7 @@ def test_offsets_and_tokens(spark):
     assert t.decode_token(t.encode_token("ё/a b")) == "ё/a b"
 
 
-def test_language():
-    assert detect("Der Bericht wurde von der Stelle geprüft und ist für die Akten nicht mehr von Bedeutung")[0] == "deu"
-    assert detect("Это письмо было написано для того, чтобы объяснить причину отказа и предложить решение")[0] == "rus"
-    assert detect("short") == ("und", 0.0) and detect(None) == ("und", 0.0)
+def test_language(spark):
+    texts = ["Der Bericht wurde von der Stelle geprüft und ist für die Akten nicht mehr von Bedeutung", "Это письмо было написано для того, чтобы объяснить причину отказа и предложить решение", "short", None, "", "1 2 3"]
+    got = [tuple(r.r) for r in spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").orderBy("k").select(detect_language("t").alias("r")).collect()]
+    assert [g[0] for g in got[:2]] == ["deu", "rus"] and got[2:] == [("und", 0.0)] * 4
