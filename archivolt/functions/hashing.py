@@ -73,3 +73,25 @@ def canonical_json(value) -> str:
 def policy_id(algorithm: str, policy: dict, length: int = 32) -> str:
     """Identity of a policy: hash of its algorithm version and settings."""
     return hashlib.sha256(f"{algorithm}:{json.dumps(policy, sort_keys=True)}".encode()).hexdigest()[:length]
+
+
+def span_id(document: Column, index: Column, start: Column, end: Column, kind: Column) -> Column:
+    """SHA-256 of the JSON list [document, index, start, end, kind]; nulls are null."""
+    text = lambda c: F.coalesce(F.concat(F.lit('"'), c.cast("string"), F.lit('"')), F.lit("null"))
+    number = lambda c: F.coalesce(c.cast("string"), F.lit("null"))
+    return _sha("[", text(document), ", ", number(index), ", ", number(start), ", ", number(end), ", ", text(kind), "]")
+
+
+def classification_id(occurrence: Column, scheme: Column, classifier: Column) -> Column:
+    """SHA-256 of "classification:occurrence:scheme:classifier"."""
+    return _sha("classification:", occurrence, ":", scheme, ":", classifier)
+
+
+def evidence_id(projection: Column, check: Column) -> Column:
+    """SHA-256 of "evidence:projection:check"."""
+    return _sha("evidence:", projection, ":", check)
+
+
+def projection_fingerprint(kind: str, version: str, checksum: str, profile: str) -> str:
+    """Identity of what a projection is built from: kind, version, input checksum and profile."""
+    return hashlib.sha256("|".join((kind, version, checksum, profile)).encode()).hexdigest()

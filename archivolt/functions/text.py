@@ -199,3 +199,34 @@ def sentence_spans(text: str) -> list[tuple[int, int]]:
     if opened < len(text):
         spans.append((opened, len(text)))
     return spans
+
+
+#: Words too common to tell texts apart.
+STOP_WORDS = ("and", "the", "of", "und", "der", "и", "в", "на")
+
+
+def word_spans(column: str | Column, stop: tuple[str, ...] = STOP_WORDS) -> Column:
+    """array<struct<word, start, end>>: words of letters and digits in small letters with their places in the text, without stop words.
+
+    Places come from the lengths of the pieces between words, so the text isn't searched again."""
+    text = F.col(column) if isinstance(column, str) else column
+    pieces = F.regexp_extract_all(text, F.lit(r"(?U)[\p{L}\p{N}]+|[^\p{L}\p{N}]+"), F.lit(0))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<word: string, start: int, end: int>>").alias("out"))
+
+    def step(state, piece):
+        end = state["at"] + F.length(piece)
+        word = F.lower(piece)
+        keep = piece.rlike(r"(?U)^[\p{L}\p{N}]") & ~word.isin(*stop)
+        row = F.struct(word.alias("word"), state["at"].alias("start"), end.alias("end"))
+        return F.struct(end.alias("at"), F.when(keep, F.concat(state["out"], F.array(row))).otherwise(state["out"]).alias("out"))
+
+    return F.aggregate(pieces, start, step)["out"]
+
+
+def redact_text(column: str | Column, secrets: tuple[str, ...] = ()) -> Column:
+    """A text with values of secret-looking assignments, tokens of shards and stated secrets blotted out."""
+    out = F.regexp_replace(F.col(column) if isinstance(column, str) else column, r"(?i)\b(password|secret|token|api_?key|credential)(\s*[=:]\s*)\S+", "$1$2<redacted>")
+    out = F.regexp_replace(out, r"\bshard-[0-9a-f]{8,}\b", "shard-<redacted>")
+    for s in secrets:
+        out = F.replace(out, F.lit(s), F.lit("<redacted>")) if s else out
+    return out

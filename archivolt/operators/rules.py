@@ -67,11 +67,13 @@ def conflicting_pairs(facts: DataFrame, one: str, other: str) -> DataFrame:
 
 def allocation_findings(rows: DataFrame) -> DataFrame:
     """Rows (row_id, amount, allocated, currency, counter_currency, match_state): allocations over the amount, in another currency, or
-    of an unknown state."""
+    of an unknown state; with a column predicate also similarity taken for a match."""
     over = finding(rows.where("allocated > amount"), "over-allocated", "row_id", "allocated")
     money = finding(rows.where("currency <> counter_currency"), "currency", "row_id", "counter_currency")
+    alike = finding(rows.where("match_state = 'matched'").where(F.col("predicate").contains("similar")), "similarity-matched", "row_id", "predicate") if "predicate" in rows.columns else None
     state = finding(rows.where("match_state is null or match_state not in ('matched', 'partial', 'unmatched', 'candidate')"), "match-state", "row_id", F.coalesce("match_state", F.lit("none")))
-    return over.unionByName(money).unionByName(state)
+    out = over.unionByName(money).unionByName(state)
+    return out if alike is None else out.unionByName(alike)
 
 
 def alternative_sums(lines: DataFrame) -> DataFrame:
@@ -89,3 +91,68 @@ def cohort_anomalies(df: DataFrame, cohort: str, identity: str, value: str, cuto
     s = dev.join(mad, cohort).withColumn("score", score)
     status = F.when(F.col("n") < least, "insufficient-evidence").when(F.col("score") > cutoff, "anomaly").otherwise("normal")
     return s.select(F.col(identity), F.col(cohort), "score", status.alias("status"))
+
+
+#: Pairs of predicates that exclude each other between the same two things.
+EXCLUSIVE = (("part-of", "references"), ("owns-explicit", "owns-candidate"), ("allocates", "similar-to"), ("same-name", "alias-of"))
+
+
+def exclusive_findings(facts: DataFrame, pairs: tuple[tuple[str, str], ...] = EXCLUSIVE) -> DataFrame:
+    """Conflicts of every stated pair of predicates, in one pass: a subject and object joined by both."""
+    side = F.array(*[F.struct(F.lit(f"conflict {a}/{b}").alias("rule"), F.array(F.lit(a), F.lit(b)).alias("p")) for a, b in pairs])
+    hit = facts.select("subject", "object", "predicate_id", F.explode(F.filter(side, lambda x: F.array_contains(x["p"], F.col("predicate_id")))).alias("x"))
+    both = hit.groupBy("subject", "object", "x.rule").agg(F.count_distinct("predicate_id").alias("n")).where("n > 1")
+    return both.select(F.col("rule").alias("rule_id"), F.col("subject").cast("string"), F.col("object").cast("string").alias("detail"))
+
+
+def kind_findings(facts: DataFrame, predicates: DataFrame) -> DataFrame:
+    """Facts whose value is of another kind than their predicate's, or a literal of another datatype; no datatype means xsd:string.
+
+    facts has (fact_id, predicate_id, object, literal, literal_datatype), predicates (predicate_id, kind: object or literal, datatype)."""
+    j = facts.join(predicates.select("predicate_id", "kind", "datatype"), "predicate_id")
+    wrong = finding(j.where(((F.col("kind") == "object") & F.col("literal").isNotNull()) | ((F.col("kind") == "literal") & F.col("object").isNotNull())), "kind-mismatch", "fact_id", "kind")
+    has = F.coalesce("literal_datatype", F.lit("xsd:string"))
+    return wrong.unionByName(finding(j.where((F.col("kind") == "literal") & F.col("literal").isNotNull() & (has != F.coalesce("datatype", F.lit("xsd:string")))), "datatype", "fact_id", has))
+
+
+def registry_findings(rows: DataFrame) -> DataFrame:
+    """Registry rows (row_id, status, reason): a failed one needs a reason, an empty one must not have any."""
+    blank = F.coalesce(F.trim("reason"), F.lit("")) == ""
+    return finding(rows.where((F.col("status") == "failed") & blank), "failed-without-reason", "row_id", "status").unionByName(finding(rows.where((F.col("status") == "empty") & ~blank), "empty-with-reason", "row_id", "reason"))
+
+
+def stage_findings(rows: DataFrame, delivered: tuple[str, ...] = ("delivered", "accepted")) -> DataFrame:
+    """Supply rows (row_id, stage, claims_delivery): a delivery may be claimed only in a stage that follows it."""
+    return finding(rows.where(F.col("claims_delivery") & ~F.coalesce(F.col("stage").isin(*delivered), F.lit(False))), "delivery-claim", "row_id", F.coalesce("stage", F.lit("none")))
+
+
+def anchor_findings(rows: DataFrame, kinds: dict[str, tuple[str, ...]], directions: tuple[str, ...] = ("in", "out", "both")) -> DataFrame:
+    """Anchored rows (row_id, predicate_id, anchor_kind, direction): the kind must be one of the predicate's, the direction known."""
+    allowed = F.create_map(*[x for k, v in kinds.items() for x in (F.lit(k), F.array(*[F.lit(y) for y in v]))])
+    fits = F.coalesce(F.array_contains(allowed[F.col("predicate_id")], F.col("anchor_kind")), F.lit(False))
+    bad = finding(rows.where(F.col("predicate_id").isin(*kinds) & ~fits), "anchor-kind", "row_id", F.coalesce("anchor_kind", F.lit("none")))
+    return bad.unionByName(finding(rows.where(~F.coalesce(F.col("direction").isin(*directions), F.lit(False))), "direction", "row_id", F.coalesce("direction", F.lit("none"))))
+
+
+def predicate_key(name: Column) -> Column:
+    """A camel-case local name as pred. and its words joined by hyphens."""
+    return F.concat(F.lit("pred."), F.lower(F.regexp_replace(name, r"(?<!^)([A-Z])", "-$1")))
+
+
+def evolution(old: dict, new: dict) -> tuple[str, list[str]]:
+    """(identical, additive or breaking; what changed) of two vocabularies: name -> {kind, parent, domain, range, functional}."""
+    gone = [f"removed {n}" for n in sorted(old.keys() - new.keys())]
+    changed = [f"changed {n}.{k}" for n in sorted(old.keys() & new.keys()) for k in sorted(old[n].keys() | new[n].keys()) if old[n].get(k) != new[n].get(k)]
+    added = [f"added {n}" for n in sorted(new.keys() - old.keys())]
+    return "breaking" if gone or changed else "additive" if added else "identical", gone + changed + added
+
+
+def load_vocabulary(spark, path: str) -> tuple[DataFrame, DataFrame]:
+    """(classes, predicates) of a JSON-lines vocabulary: {"id", "kind": "class", "parent"} and {"id", "kind": "predicate",
+    "domain", "range", "functional", "status"}; other kinds are refused."""
+    rows = spark.read.schema("id string, kind string, parent string, domain string, range string, functional boolean, status string").json(path)
+    bad = [r.kind for r in rows.where("kind is null or kind not in ('class', 'predicate')").select("kind").distinct().limit(5).collect()]
+    if bad:
+        raise ValueError(f"unknown kinds: {bad}")
+    classes = rows.where("kind = 'class'").select(F.col("id").alias("class_id"), F.col("parent").alias("parent_id"))
+    return classes, rows.where("kind = 'predicate'").select(F.col("id").alias("predicate_id"), "domain", "range", F.coalesce("functional", F.lit(False)).alias("functional"), F.coalesce("status", F.lit("active")).alias("status"))
