@@ -99,3 +99,67 @@ def select_allowed(df: DataFrame, columns: list[str], allowed: set[str]) -> Data
 def strip(column: str | Column) -> Column:
     """Text without white space of any kind at its ends."""
     return F.regexp_replace(F.col(column).cast("string") if isinstance(column, str) else column.cast("string"), r"(?U)^\s+|\s+$", "")
+
+
+#: Classes of change, mildest first: of several the worst holds.
+SEVERITY = ("identical", "additive", "semantic", "breaking")
+
+
+def projection_change(old: dict, new: dict) -> str:
+    """Change of a projection {columns, filter, keys}: more columns are additive, another filter semantic, fewer or other keys breaking."""
+    if set(old["columns"]) - set(new["columns"]) or old.get("keys") != new.get("keys"):
+        return "breaking"
+    if old.get("filter") != new.get("filter"):
+        return "semantic"
+    return "additive" if set(new["columns"]) - set(old["columns"]) else "identical"
+
+
+def semantic_change(old: Contract, new: Contract) -> str:
+    """Change of meaning with the same fields: another binding is semantic."""
+    return "identical" if old.bindings == new.bindings else "semantic"
+
+
+def merged_change(*changes: str) -> str:
+    """The worst of several classes of change."""
+    return max(changes, key=SEVERITY.index)
+
+
+def registry_problems(contracts: list[Contract], api_versions: dict[str, str], supported: tuple[str, ...] = ("v3.0.0", "v3.1.0")) -> list[str]:
+    """integrity() and: bindings that two contracts share, API versions not supported, versions that are no three numbers."""
+    out = integrity(contracts)
+    seen: dict[str, str] = {}
+    for c in contracts:
+        for target in c.bindings.values():
+            if target in seen and seen[target] != c.name:
+                out.append(f"{c.name}: {target} is bound by {seen[target]}")
+            seen.setdefault(target, c.name)
+        if api_versions.get(c.name) not in supported:
+            out.append(f"{c.name}: API version {api_versions.get(c.name)} is not supported")
+        if len(c.version.split(".")) != 3 or not all(x.isdigit() for x in c.version.split(".")):
+            out.append(f"{c.name}: {c.version} is no version")
+    return out
+
+
+_WIDENS = {("int", "bigint"), ("int", "float"), ("int", "double"), ("bigint", "float"), ("bigint", "double"), ("float", "double"), ("string", "binary"), ("binary", "string")}
+
+
+def reader_problems(writer: T.StructType, reader: T.StructType) -> list[str]:
+    """Why a reader's schema can't read a writer's rows: types that don't widen, nulls it refuses, columns it misses without default."""
+    w = {f.name: f for f in writer}
+    out = []
+    for f in reader:
+        if f.name not in w:
+            if not f.nullable and "default" not in (f.metadata or {}):
+                out.append(f"{f.name}: missing without a default")
+            continue
+        a, b = w[f.name].dataType, f.dataType
+        if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+            out += [f"{f.name}.{x}" for x in reader_problems(a, b)]
+        elif isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
+            if a.scale != b.scale or a.precision > b.precision:
+                out.append(f"{f.name}: {a.simpleString()} doesn't fit {b.simpleString()}")
+        elif a != b and (a.simpleString(), b.simpleString()) not in _WIDENS:
+            out.append(f"{f.name}: {a.simpleString()} can't be read as {b.simpleString()}")
+        if w[f.name].nullable and not f.nullable:
+            out.append(f"{f.name}: nulls are refused")
+    return out

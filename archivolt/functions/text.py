@@ -206,21 +206,18 @@ STOP_WORDS = ("and", "the", "of", "und", "der", "и", "в", "на")
 
 
 def word_spans(column: str | Column, stop: tuple[str, ...] = STOP_WORDS) -> Column:
-    """array<struct<word, start, end>>: words of letters and digits in small letters with their places in the text, without stop words.
+    """array<struct<word, start, end>>: words of letters and digits, case folded, with their places in the text, without stop words."""
 
-    Places come from the lengths of the pieces between words, so the text isn't searched again."""
-    text = F.col(column) if isinstance(column, str) else column
-    pieces = F.regexp_extract_all(text, F.lit(r"(?U)[\p{L}\p{N}]+|[^\p{L}\p{N}]+"), F.lit(0))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<word: string, start: int, end: int>>").alias("out"))
+    @F.pandas_udf("array<struct<word: string, start: int, end: int>>")
+    def run(texts: pd.Series) -> pd.Series:
+        def one(t: str | None) -> list | None:
+            if t is None:
+                return None
+            return [{"word": w, "start": m.start(), "end": m.end()} for m in re.finditer(r"[^\W_]+", t) if (w := m[0].casefold()) not in stop]
 
-    def step(state, piece):
-        end = state["at"] + F.length(piece)
-        word = F.lower(piece)
-        keep = piece.rlike(r"(?U)^[\p{L}\p{N}]") & ~word.isin(*stop)
-        row = F.struct(word.alias("word"), state["at"].alias("start"), end.alias("end"))
-        return F.struct(end.alias("at"), F.when(keep, F.concat(state["out"], F.array(row))).otherwise(state["out"]).alias("out"))
+        return texts.map(one)
 
-    return F.aggregate(pieces, start, step)["out"]
+    return run(column)
 
 
 def redact_text(column: str | Column, secrets: tuple[str, ...] = ()) -> Column:

@@ -65,15 +65,60 @@ def not_in(df: DataFrame, column: str, excluded: DataFrame, key: str) -> DataFra
 
 
 def active_view(derived: DataFrame, occurrences: DataFrame, removed: DataFrame) -> DataFrame:
-    """Derived rows by content hash with their remaining paths; review-bound rows stay, others go with their last path."""
+    """Derived rows by content hash with their remaining paths. Rows with a path left, bound by a review, or shared with other
+    contents that have one (column shared_with, where there is one) stay; others go with their last path."""
     gone = removed.select("silo", "path").distinct()
     paths = occurrences.join(gone, ["silo", "path"], "left_anti").groupBy("content_hash").agg(F.count("*").alias("paths"))
-    return derived.join(paths, "content_hash", "left").where(F.col("paths").isNotNull() | F.col("review_state").isin("review", "merged", "split")).withColumn("paths", F.coalesce("paths", F.lit(0)))
+    keep = F.col("paths").isNotNull() | F.coalesce(F.col("review_state").isin("review", "merged", "split"), F.lit(False))
+    j = derived.join(paths, "content_hash", "left")
+    if "shared_with" in derived.columns:
+        row = F.monotonically_increasing_id()
+        from archivolt.session import cut
 
+        j = cut(j.withColumn("_row", row))
+        alive = paths.select(F.col("content_hash").alias("_other"))
+        shared = j.select("_row", F.explode("shared_with").alias("_other")).join(alive, "_other", "left_semi").select("_row").distinct().withColumn("_shared", F.lit(True))
+        j = j.join(shared, "_row", "left").drop("_row")
+        keep = keep | F.col("_shared").isNotNull()
+    return j.where(keep).select(*derived.columns, F.coalesce("paths", F.lit(0)).alias("paths"))
 
-def prune_plan(generations: DataFrame, protected: list[str]) -> DataFrame:
-    """Stale or superseded generations that nothing protects, oldest first."""
-    return generations.where(F.col("state").isin("stale", "superseded") & ~F.array_contains(F.array(*[F.lit(p) for p in protected]), F.col("generation_id"))).orderBy("created_at", "generation_id")
+
+#: What keeps a generation from being pruned.
+PROTECTIONS = ("active", "pinned", "reviewed", "rollback", "ledger", "backup", "sole-recovery")
+
+
+def prune_plan(generations: DataFrame, protected: DataFrame | list[str]) -> DataFrame:
+    """Stale or superseded generations that nothing protects, oldest first. protected is a list of ids or rows (generation_id, reason)
+    with a reason of PROTECTIONS; an unknown reason protects as well."""
+    if isinstance(protected, list):
+        protected = generations.sparkSession.createDataFrame([(p,) for p in protected], "generation_id string")
+    old = generations.where(F.col("state").isin("stale", "superseded"))
+    return old.join(protected.select("generation_id").dropna().distinct(), "generation_id", "left_anti").select(*generations.columns).orderBy("created_at", "generation_id")
+
+
+def plan_fingerprint(plan: DataFrame) -> str:
+    """Identity of a prune plan; applying it is refused if the plan drawn anew has another."""
+    from archivolt.functions.hashing import set_checksum
+
+    c = plan.agg(set_checksum(F.col("generation_id")).alias("c")).first().c
+    return f"{c.n}:{c.xored}:{c.summed}"
+
+
+def supersede(attempts: DataFrame, replacement: DataFrame) -> DataFrame:
+    """attempts (stage, attempt_id, state) after replacements: earlier published attempts of their stages are superseded."""
+    new = replacement.select("stage", F.col("attempt_id").alias("_new")).groupBy("stage").agg(F.collect_set("_new").alias("_new"))
+    j = attempts.join(new, "stage", "left")
+    old = F.col("_new").isNotNull() & ~F.coalesce(F.array_contains("_new", F.col("attempt_id")), F.lit(False)) & (F.col("state") == "published")
+    kept = j.select("stage", "attempt_id", F.when(old, "superseded").otherwise(F.col("state")).alias("state"))
+    fresh = replacement.join(attempts.select("attempt_id"), "attempt_id", "left_anti").select("stage", "attempt_id", F.lit("published").alias("state"))
+    return kept.unionByName(fresh)
+
+
+def invalidation(affected: DataFrame, depends: DataFrame) -> DataFrame:
+    """(id): everything that depends, near or far, on affected contents (content_hash); depends has (src: what is used, dst: by what)."""
+    from archivolt.operators.graph import reachable
+
+    return reachable(depends, affected.select(F.col("content_hash").alias("id")).distinct())
 
 
 def path_overlay(events: DataFrame) -> DataFrame:
