@@ -54,9 +54,11 @@ def store_bucket(identity: Column, buckets: int = 16) -> Column:
     return F.pmod(F.conv(F.substring(F.sha2(identity.cast("string"), 256), 1, 7), 16, 10).cast("long"), F.lit(buckets)).cast("string")
 
 
-def id_checksum(identity: Column) -> Column:
-    """Aggregate: SHA-256 of the sorted distinct ids joined by a pipe. For sets of bounded size, such as a dimension."""
-    return F.sha2(F.array_join(F.sort_array(F.collect_set(identity.cast("string"))), "|"), 256)
+def ids_checksum(df, column: str):
+    """(checksum): SHA-256 of a set of ids of any size: of the digests of 4,096 parts by the ids' own SHA-256, each over its sorted ids."""
+    ids = df.where(F.col(column).isNotNull()).select(F.col(column).cast("string").alias("n")).distinct().withColumn("p", F.substring(F.sha2("n", 256), 1, 3))
+    parts = ids.groupBy("p").agg(F.sha2(F.array_join(F.sort_array(F.collect_list("n")), "|"), 256).alias("c"))
+    return parts.agg(F.sha2(F.array_join(F.sort_array(F.collect_list(F.concat("p", F.lit(":"), "c"))), "|"), 256).alias("checksum"))
 
 
 def set_checksum(identity: Column) -> Column:

@@ -82,3 +82,28 @@ def profile_violations(rows: DataFrame, profiles: DataFrame) -> DataFrame:
     p = F.broadcast(profiles.select("profile_id", F.col("dimensions").alias("want_dimensions"), F.col("model_digest").alias("want_digest")))  # a fixed table of profiles
     j = rows.join(p, "profile_id", "left")
     return j.where(F.col("want_dimensions").isNull() | ~F.col("dimensions").eqNullSafe(F.col("want_dimensions")) | ~F.col("model_digest").eqNullSafe(F.col("want_digest"))).select("embedding_id", "profile_id", "dimensions", "want_dimensions").distinct()
+
+
+def embed(df: DataFrame, provider=None, text: str = "text", dimensions: int = 64) -> DataFrame:
+    """df with embedding (array<double>) and status: ok, empty for texts without words, or error where the provider failed.
+
+    provider maps a list of texts to a list of vectors of one size, a batch at a time; without one the vectors are signed sums of
+    hashed words, of unit length."""
+    from archivolt.functions import wordhash
+
+    def hashed(texts: list[str]) -> list[list[float]]:
+        out = np.zeros((len(texts), dimensions))
+        h, owner, _, _ = wordhash.words(texts)
+        np.add.at(out, (owner, (h % np.uint64(dimensions)).astype(int)), np.where((h >> np.uint64(40)) & np.uint64(1), 1.0, -1.0))
+        return (out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)).tolist()
+
+    @F.pandas_udf("embedding array<double>, status string")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        filled = [t for t in texts if t and t.strip()]
+        try:
+            vectors, status = iter((provider or hashed)(filled) if filled else []), "ok"
+        except Exception:  # a provider's failure marks its rows, it doesn't end the job
+            vectors, status = iter([None] * len(filled)), "error"
+        return pd.DataFrame([(next(vectors), status) if t and t.strip() else (None, "empty") for t in texts], columns=["embedding", "status"])
+
+    return df.withColumn("_e", run(text)).withColumns({"embedding": F.col("_e.embedding"), "status": F.col("_e.status")}).drop("_e")

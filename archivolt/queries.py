@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from archivolt import queries_core, queries_data, queries_more  # noqa: F401  (they register themselves)
+from archivolt import queries_core, queries_data, queries_more, queries_ops  # noqa: F401  (they register themselves)
 from archivolt.registry import QUERIES, SQL, Query
 
 

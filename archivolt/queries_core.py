@@ -53,7 +53,19 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return dedupe.exact_groups(table(spark, d, "documents"), dedupe.normal_key("text"), "doc_id")
 
 
-@query("near_duplicates_minhash")
+
+_SHINGLES = f"""WITH RECURSIVE k AS (SELECT doc_id, trim(regexp_replace(lower(text), '[ \\t\\n\\r]+', ' ', 'g')) AS key, text FROM documents WHERE text IS NOT NULL),
+c AS (SELECT min(doc_id) AS id, count(*) AS copies, key, {_W.replace('lower(text)', 'lower(min(text))')} AS w FROM k GROUP BY key),
+g AS (SELECT id, list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM c),
+x AS (SELECT id, len(s) AS n, unnest(s) AS gram FROM g), p AS (SELECT a.id AS l, b.id AS r, count(*) AS c, max(a.n) AS m, max(b.n) AS n FROM x a JOIN x b ON a.gram = b.gram AND a.id < b.id GROUP BY ALL)"""
+
+
+@query(
+    "near_duplicates_minhash",
+    _SHINGLES + """, e AS (SELECT l, r FROM p WHERE c / (m + n - c) >= 0.8), u AS (SELECT l AS a, r AS b FROM e UNION SELECT r, l FROM e), v(a, b) AS (SELECT id, id FROM c UNION SELECT v.a, u.b FROM v JOIN u ON u.a = v.b),
+o AS (SELECT a AS id, min(b) AS class_id FROM v GROUP BY a), q AS (SELECT a AS id, count(*) AS links FROM u GROUP BY a)
+SELECT d.doc_id AS id, coalesce(o.class_id, d.doc_id) AS class_id, coalesce(links, 0) AS links, coalesce(copies, 1) AS copies FROM documents d LEFT JOIN k USING (doc_id) LEFT JOIN c ON c.key = k.key LEFT JOIN o ON o.id = c.id LEFT JOIN q ON q.id = c.id""",
+)
 def _(spark: SparkSession, d: str) -> DataFrame:
     return dedupe.near_duplicates(table(spark, d, "documents"))
 
@@ -107,9 +119,9 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").groupBy(hashing.lake_bucket(i).alias("lake"), hashing.store_bucket(i).alias("store")).agg(F.count("*").alias("n"))
 
 
-@query("id_checksum", "SELECT sha256(string_agg(n, '|' ORDER BY n)) AS checksum FROM (SELECT DISTINCT CAST(n_nationkey AS VARCHAR) AS n FROM nation)")
+@query("id_checksum", "WITH i AS (SELECT DISTINCT document_id AS n, left(sha256(document_id), 3) AS p FROM documents WHERE document_id IS NOT NULL), g AS (SELECT p, sha256(string_agg(n, '|' ORDER BY n)) AS c FROM i GROUP BY p) SELECT sha256(string_agg(p || ':' || c, '|' ORDER BY p)) AS checksum FROM g")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "nation").agg(hashing.id_checksum(F.col("n_nationkey")).alias("checksum"))
+    return hashing.ids_checksum(table(spark, d, "documents"), "document_id")
 
 
 @query("word_counts", f"WITH w AS (SELECT unnest({_W}) AS term FROM documents WHERE text IS NOT NULL) SELECT term, count(*) AS n FROM w GROUP BY term ORDER BY n DESC, term LIMIT 100")
@@ -153,7 +165,7 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 
 @query("table_chunks")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return chunking.chunk_documents(table(spark, d, "documents").where(F.col("text").contains("|"))).where("kind = 'table'").select("doc_id", "ordinal", "units", "prefix_chars")
+    return chunking.chunk_documents(table(spark, d, "documents")).where("kind = 'table'").select("doc_id", "ordinal", "units", "prefix_chars")
 
 
 def _bm25(terms: str, where: str = "") -> str:
@@ -276,41 +288,24 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _doubling(spark: SparkSession, d: str) -> DataFrame:
-    """Each part leads to two others, numbers taken modulo 1009: a graph with cycles."""
-    p = table(spark, d, "part").select((F.col("p_partkey") % 1009).alias("src"))
-    return p.select("src", (F.col("src") * 2 % 1009).alias("dst")).union(p.select("src", (F.col("src") * 3 % 1009).alias("dst"))).distinct()
-
-
-_DOUBLE = "p AS (SELECT p_partkey % 1009 AS src FROM part), e AS (SELECT src, src * 2 % 1009 AS dst FROM p UNION SELECT src, src * 3 % 1009 FROM p)"
-
-
-@query("closure_reachability", f"WITH RECURSIVE {_DOUBLE}, r(id) AS (SELECT CAST(5 AS BIGINT) UNION SELECT e.dst FROM r JOIN e ON e.src = r.id) SELECT id FROM r")
-def _(spark: SparkSession, d: str) -> DataFrame:
-    return graph.reachable(_doubling(spark, d), spark.createDataFrame([(5,)], "id long"))
-
-
-@query("cycle_core", f"WITH RECURSIVE {_DOUBLE}, r(a, b) AS (SELECT src, dst FROM e WHERE src <= 40 AND dst <= 40 UNION SELECT r.a, e.dst FROM r JOIN e ON e.src = r.b AND e.src <= 40 AND e.dst <= 40) SELECT DISTINCT a AS vertex FROM r WHERE a = b")
-def _(spark: SparkSession, d: str) -> DataFrame:
-    e = graph.cycle_core(_doubling(spark, d).where("src <= 40 and dst <= 40"))
-    return e.select(F.col("src").alias("vertex")).distinct()
-
-
-def _doubling_all(spark: SparkSession, d: str) -> DataFrame:
     """Each part leads to two others, numbers taken modulo one more than the greatest: every part is a vertex of its own."""
     p = table(spark, d, "part").select(F.col("p_partkey").alias("src"))
     n = (p.agg(F.max("src")).first()[0] or 0) + 1
     return p.select("src", (F.col("src") * 2 % n).alias("dst")).union(p.select("src", (F.col("src") * 3 % n).alias("dst"))).distinct()
 
 
-# the whole graphs, without SQL: a recursion over all walks is too slow; closure_reachability and cycle_core stay on the vertices of their SQL
-@query("closure_reachability_all")
+_DOUBLE = "n AS (SELECT max(p_partkey) + 1 AS n FROM part), e AS (SELECT p_partkey AS src, p_partkey * 2 % n AS dst FROM part, n UNION SELECT p_partkey, p_partkey * 3 % n FROM part, n)"
+
+
+@query("closure_reachability", f"WITH RECURSIVE {_DOUBLE}, r(id) AS (SELECT CAST(5 AS BIGINT) UNION SELECT e.dst FROM r JOIN e ON e.src = r.id) SELECT id FROM r")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return graph.reachable(_doubling_all(spark, d), spark.createDataFrame([(5,)], "id long"))
+    return graph.reachable(_doubling(spark, d), spark.createDataFrame([(5,)], "id long"))
 
 
-@query("cycle_core_all")
+# without SQL: a recursion over all pairs of vertices is too slow; tests compare with brute force
+@query("cycle_core")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return graph.cycle_core(_doubling_all(spark, d)).select(F.col("src").alias("vertex")).distinct()
+    return graph.cycle_core(_doubling(spark, d)).select(F.col("src").alias("vertex")).distinct()
 
 
 @query("pagerank")

@@ -306,7 +306,17 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return classify.stratified_split(table(spark, d, "subject_labels"), "doc_id", "class_id")
 
 
-@query("taxonomy_classify")
+@query(
+    "taxonomy_classify",
+    """WITH v AS (SELECT class_id, 0 AS variant, caption_en AS c FROM subjects UNION ALL SELECT class_id, 1, caption_ru FROM subjects UNION ALL SELECT class_id, 2, caption_uk FROM subjects), n AS (SELECT count(*) AS n FROM v WHERE c IS NOT NULL),
+t AS (SELECT class_id, variant, term, count(*) AS w FROM (SELECT class_id, variant, unnest(regexp_extract_all(lower(c), '[\\p{L}\\p{N}]+')) AS term FROM v) GROUP BY ALL), i AS (SELECT term, ln((n + 1) / (count(*) + 1)) + 1 AS idf FROM t, n GROUP BY term, n),
+o AS (SELECT class_id, variant, sum(w * idf) AS norm FROM t JOIN i USING (term) GROUP BY ALL), d AS (SELECT doc_id, term, count(*) * 3 AS weight FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS term FROM documents WHERE text IS NOT NULL) GROUP BY ALL),
+s AS (SELECT doc_id, class_id, variant, least(1, sum(least(weight, w) * idf) / greatest(max(norm), 1)) AS score, count(DISTINCT term) AS matched FROM d JOIN t USING (term) JOIN i USING (term) JOIN o USING (class_id, variant) GROUP BY ALL),
+b AS (SELECT doc_id, class_id, max(score) AS score, arg_max(matched, (score, matched)) AS matched FROM s GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 9) DESC, class_id) AS k FROM b),
+f AS (SELECT doc_id, max(class_id) FILTER (WHERE k = 1) AS best, max(score) FILTER (WHERE k = 1) AS s1, max(matched) FILTER (WHERE k = 1) AS m1, max(score) FILTER (WHERE k = 2) AS s2, coalesce(list(class_id ORDER BY k) FILTER (WHERE k BETWEEN 2 AND 4 AND round(score, 9) >= 0.35), []) AS alternates FROM r GROUP BY doc_id),
+z AS (SELECT *, round(s1, 9) >= 0.45 AND m1 >= 2 AND (s2 IS NULL OR round(s1, 9) - round(s2, 9) >= 0.08) AS ok FROM f)
+SELECT doc_id, CASE WHEN ok THEN best ELSE 'unclassified' END AS primary_class_id, round(CASE WHEN ok THEN s1 ELSE 1 - s1 END, 6) AS confidence, alternates FROM z""",
+)
 def _(spark: SparkSession, d: str) -> DataFrame:
     from archivolt.functions.text import words
 
@@ -395,9 +405,9 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return forecast.ranges(w)
 
 
-@query("device_budget", "WITH p AS (SELECT bucket AS device, sum(end_char - start_char) AS peak FROM chunks WHERE bucket <> 'f' GROUP BY bucket) SELECT device, peak, 100000 AS free, peak <= 90000 AS fits FROM p")
+@query("device_budget", "WITH p AS (SELECT bucket AS device, sum(end_char - start_char) AS peak FROM chunks GROUP BY bucket) SELECT device, peak, 100000 AS free, peak <= 90000 AS fits FROM p")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    needs = table(spark, d, "chunks").where("bucket <> 'f'").select(F.col("bucket").alias("device"), (F.col("end_char") - F.col("start_char")).alias("output_high"))
+    needs = table(spark, d, "chunks").select(F.col("bucket").alias("device"), (F.col("end_char") - F.col("start_char")).alias("output_high"))
     free = spark.createDataFrame([(f"{i:x}", 100000) for i in range(16)], "device string, free long")
     return forecast.device_budget(needs, free)
 
@@ -417,6 +427,6 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return windows.to_memory(windows.tumbling(windows.read_events(spark, f"{d}/events.parquet")), "event_windows")
 
 
-@query("event_sessions")
+@query("event_sessions", "WITH e AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events), s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM e) SELECT user_id, min(ts) AS session_start, count(*) AS events FROM s GROUP BY user_id, k")
 def _(spark: SparkSession, d: str) -> DataFrame:
     return windows.sessions(table(spark, d, "events"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from archivolt.functions.text import shingles, words
 from archivolt.operators import dedupe, lexical, quality, scores, vector
 from archivolt.operators.quality import Rule
+from archivolt.queries_core import _SHINGLES
 from archivolt.registry import query
 from archivolt.session import table
 
@@ -35,38 +36,25 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 
 
 _NN = """
-WITH q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id % 50 = 0),
-r AS (SELECT query_id, e.vec_id AS id, round(list_distance(CAST(e.embedding AS DOUBLE[]), v), 6) AS distance FROM q, embeddings e WHERE e.vec_id % 50 = 0),
-n AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM r)"""
-
-
-@query("reciprocal_links", _NN + ' SELECT a.query_id AS "left", a.id AS "right" FROM n a JOIN n b ON a.query_id = b.id AND a.id = b.query_id WHERE a.rank <= 4 AND b.rank <= 4 AND a.query_id < a.id')
-def _(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "embeddings").where("vec_id % 50 = 0")
-    ranked = vector.nearest_of_queries(e, e.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query")), 4)
-    return scores.reciprocal_links(ranked, 4)
-
-
-_NN_ALL = """
 WITH r AS (SELECT q.vec_id AS query_id, e.vec_id AS id, round(list_distance(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 6) AS distance FROM embeddings q, embeddings e),
 n AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM r)"""
 
 
-@query("reciprocal_links_all", _NN_ALL + ' SELECT a.query_id AS "left", a.id AS "right" FROM n a JOIN n b ON a.query_id = b.id AND a.id = b.query_id WHERE a.rank <= 4 AND b.rank <= 4 AND a.query_id < a.id')
+@query("reciprocal_links", _NN + ' SELECT a.query_id AS "left", a.id AS "right" FROM n a JOIN n b ON a.query_id = b.id AND a.id = b.query_id WHERE a.rank <= 4 AND b.rank <= 4 AND a.query_id < a.id')
 def _(spark: SparkSession, d: str) -> DataFrame:
-    """Both ranks are among all rows, every row being a query; reciprocal_links ranks inside a fiftieth of the table, as its SQL does."""
+    """Both ranks are among all rows, every row being a query."""
     e = table(spark, d, "embeddings")
     ranked = vector.nearest_of_queries(e, e.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query")), 4)
     return scores.reciprocal_links(ranked, 4)
 
 
-@query("edition_links")
+@query("edition_links", _SHINGLES + " SELECT l AS \"left\", r AS \"right\", round(c / (m + n - c), 6) AS score, CASE WHEN c / (m + n - c) >= 0.8 THEN 'lexical' ELSE 'edition' END AS method FROM p WHERE c / (m + n - c) >= 0.45")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").where("text is not null")
-    copies = docs.groupBy(F.sha2(dedupe.normal_key("text"), 256).alias("key")).agg(F.min("doc_id").alias("id"), F.first("text").alias("text"))
-    grams = F.transform(shingles(words(F.col("text")), 5), lambda g: F.xxhash64(g))
-    policy = dedupe.DedupePolicy(rows=3, registers=126)
-    links = dedupe.near_links(copies.select("id", F.array_distinct(grams).alias("grams")), policy, least=policy.edition)
+    grams = F.array_distinct(F.transform(shingles(words(F.col("text")), 5), lambda g: F.xxhash64(g)))
+    docs = table(spark, d, "documents").where("text is not null").select("doc_id", "text", grams.alias("grams"))
+    copies = docs.groupBy(F.sha2(dedupe.normal_key("text"), 256).alias("key")).agg(F.min("doc_id").alias("id"), F.min_by("grams", "doc_id").alias("grams"))
+    policy = dedupe.NEAR
+    links = dedupe.near_links(copies, policy, least=policy.edition)
     return links.select("left", "right", F.round("score", 6).alias("score"), F.when(F.col("score") >= policy.similarity, "lexical").otherwise("edition").alias("method"))
 
 

@@ -10,7 +10,7 @@ import re
 import stat
 import tarfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
@@ -24,13 +24,14 @@ OFFICE = {"docx": "application/vnd.openxmlformats-officedocument.wordprocessingm
 QUARANTINED = ("application/octet-stream", "application/x-msdownload", "application/x-executable")
 
 
-def walk(root: str, depth: int = 64) -> Iterator[tuple[str, str, int]]:
-    """(relative path, status, size) of every entry under root, by lstat alone: links are reported, never followed."""
+def walk(root: str, depth: int = 64, only: str | None = None) -> Iterator[tuple[str, str, int]]:
+    """(relative path, status, size) of every entry under root, or of its entry `only`, by lstat alone: links are reported, never
+    followed."""
     stack = [("", 0)]
     while stack:
         at, level = stack.pop()
         try:
-            entries = sorted(os.scandir(os.path.join(root, at)), key=lambda e: e.name, reverse=True)
+            entries = sorted((e for e in os.scandir(os.path.join(root, at)) if at or only is None or e.name == only), key=lambda e: e.name, reverse=True)
         except OSError:
             yield at, "unreadable-directory", 0
             continue
@@ -54,9 +55,21 @@ def walk(root: str, depth: int = 64) -> Iterator[tuple[str, str, int]]:
                 yield path, "unsupported-special", 0
 
 
-def walk_frame(spark: SparkSession, root: str, silo: str) -> DataFrame:
-    """The statuses of walk as rows (silo, relative_path, status, size)."""
-    return spark.createDataFrame([(silo, *r) for r in walk(root)], "silo string, relative_path string, status string, size long")
+def walk_frame(spark: SparkSession, root: str, silo: str, depth: int = 64) -> DataFrame:
+    """The statuses of walk as rows (silo, relative_path, status, size).
+
+    The driver lists the root alone; its folders are walked by the executors, which must see the same file system."""
+    tops = [(os.path.basename(e), e) for e in sorted(x.path for x in os.scandir(root))]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for name in pdf["name"]:
+                rows = [(silo, p, st, n) for p, st, n in walk(root, depth, name)]
+                for lo in range(0, len(rows), 10_000):
+                    yield pd.DataFrame(rows[lo : lo + 10_000], columns=["silo", "relative_path", "status", "size"])
+
+    names = spark.createDataFrame([(n,) for n, _ in tops], "name string").repartition(max(1, min(len(tops), 200)))
+    return names.mapInPandas(run, "silo string, relative_path string, status string, size long")
 
 
 def scan(spark: SparkSession, root: str, silo: str) -> DataFrame:
@@ -178,8 +191,15 @@ def inventory_counts(df: DataFrame, silo: str = "silo", size: str = "size", key:
     return df.rollup(silo).agg(F.count("*").alias("files"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes"), F.count_if(q).alias("quarantined"), (F.count(key) - F.count_distinct(key)).alias("duplicates"))
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A table by its suffix: Parquet, ORC, JSON array or lines, CSV, Arrow IPC; any other is refused."""
+def read_table(spark: SparkSession, path: str, max_rows: int | None = None) -> DataFrame:
+    """A table by its suffix: Parquet, ORC, JSON array or lines, CSV, Arrow IPC; any other is refused, as is one of more than max_rows."""
+    df = _read_table(spark, path)
+    if max_rows is not None and df.limit(max_rows + 1).count() > max_rows:
+        raise ValueError(f"{path} has more than {max_rows} rows")
+    return df
+
+
+def _read_table(spark: SparkSession, path: str) -> DataFrame:
     suffix = path.rstrip("/").rsplit(".", 1)[-1].lower()
     if suffix in ("parquet", "orc"):
         return spark.read.format(suffix).load(path)
@@ -192,8 +212,17 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     if suffix in ("arrow", "ipc", "feather"):
         import pyarrow.ipc
 
-        with open(path, "rb") as f:
-            return spark.createDataFrame(pyarrow.ipc.open_file(f).read_all())
+        with pyarrow.ipc.open_file(path) as f:  # record batches are read by the tasks, one after another
+            schema, n = f.schema, f.num_record_batches
+        from pyspark.sql.pandas.types import from_arrow_schema
+
+        def run(batches):
+            for pdf in batches:
+                with pyarrow.ipc.open_file(path) as g:
+                    for k in pdf["id"]:
+                        yield g.get_batch(int(k)).to_pandas()
+
+        return spark.range(n).repartition(max(1, min(n, 200))).mapInPandas(run, from_arrow_schema(schema))
     raise ValueError(f"unsupported table: {path}")
 
 
@@ -226,3 +255,71 @@ def html_text(column: str | Column) -> Column:
         return pages.map(one)
 
     return run(column)
+
+
+#: One extracted piece of a document: text with its place, on paged media with a page and a box in points.
+SPANS = "document_id string, index int, kind string, text string, start_char int, end_char int, page int, box struct<left: double, top: double, right: double, bottom: double>, lane string"
+
+
+def lane(media_type: Column, chars: Column | None = None, size: Column | None = None) -> Column:
+    """The lanes a file goes through, in order: plain for text, html for pages, ocr for images, layout then metadata for sheets,
+    metadata then layout for PDF, ocr as well where the text so far is too little for the size: under 64 signs or half one a KiB."""
+    scanned = F.lit(False) if chars is None else chars < F.greatest(F.lit(64), size / 1024 * 0.5)
+    pdf = F.when(scanned, F.array(F.lit("metadata"), F.lit("layout"), F.lit("ocr"))).otherwise(F.array(F.lit("metadata"), F.lit("layout")))
+    sheet = media_type.endswith("sheet") | media_type.endswith("spreadsheet")
+    return (
+        F.when(media_type == "text/html", F.array(F.lit("html")))
+        .when(media_type.startswith("text/"), F.array(F.lit("plain"), F.lit("metadata")))
+        .when(media_type.startswith("image/"), F.array(F.lit("ocr")))
+        .when(sheet, F.array(F.lit("layout"), F.lit("metadata")))
+        .when(media_type == "application/pdf", pdf)
+        .otherwise(F.array(F.lit("metadata")))
+    )
+
+
+def extract(files: DataFrame, lanes: dict[str, Callable[[bytes], list[tuple]]] | None = None) -> DataFrame:
+    """SPANS of binary files (document_id, media_type, content): each goes through its lanes until one yields text.
+
+    plain and html are built in; others are functions from bytes to (kind, text, page, box) that may be plugged in. A file that no
+    lane can read is one row of kind error."""
+    from html import unescape
+
+    def plain(raw: bytes) -> list[tuple]:
+        charset = charset_of(raw)
+        return [] if charset is None else [("text", raw.decode(charset, "replace"), None, None)]
+
+    def html(raw: bytes) -> list[tuple]:
+        t = re.sub(r"(?is)<(script|style)\b.*?</\1>|<!--.*?-->", " ", raw.decode(charset_of(raw) or "utf-8", "replace"))
+        t = unescape(re.sub(r"<[^>]+>", " ", re.sub(r"(?i)<(?:br|/p|/div|/li|/tr|/h[1-6])\b[^>]*>", "\n", t)))
+        return [("text", "\n".join(x for x in (re.sub(r"[ \t\xa0]+", " ", line).strip() for line in t.split("\n")) if x), None, None)]
+
+    known = {"plain": plain, "html": html} | (lanes or {})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for doc, names, content in zip(pdf["document_id"], pdf["lanes"], pdf["content"]):
+                for name in names:
+                    spans = [x for x in known[name](bytes(content)) if x[1].strip()] if name in known else []
+                    if spans:
+                        at = 0
+                        for k, (kind, text, page, box) in enumerate(spans):
+                            rows.append((doc, k, kind, text, at, at + len(text), page, box, name))
+                            at += len(text) + 1
+                        break
+                else:
+                    rows.append((doc, 0, "error", None, None, None, None, None, None))
+            frame = pd.DataFrame(rows, columns=["document_id", "index", "kind", "text", "start_char", "end_char", "page", "box", "lane"])
+            yield frame.astype({"index": "int32", "start_char": "Int32", "end_char": "Int32", "page": "Int32"})
+
+    return files.select("document_id", lane(F.col("media_type")).alias("lanes"), "content").mapInPandas(run, SPANS)
+
+
+def extension_counts(paths: DataFrame, column: str = "relative_path", max_files: int | None = None) -> DataFrame:
+    """(extension, files, truncated): files by extension, none as empty; truncated tells that only max_files were counted, if stated."""
+    if max_files is not None:
+        some = paths.limit(max_files + 1).count() > max_files
+        paths = paths.orderBy(column).limit(max_files)
+    else:
+        some = False
+    return paths.groupBy(F.lower(F.regexp_extract(column, r"\.([A-Za-z0-9]+)$", 1)).alias("extension")).agg(F.count("*").alias("files")).withColumn("truncated", F.lit(some))
