@@ -182,12 +182,13 @@ def infer(word: np.ndarray, bag: np.ndarray, phi: np.ndarray, alpha: np.ndarray,
     """Each word's share in each topic, by mean-field steps on its paragraph's proportions. Bags are runs of equal numbers."""
     first = np.flatnonzero(np.diff(bag, prepend=-1))
     likely = phi[word]
-    r = likely * alpha
-    r /= r.sum(1, keepdims=True)
+    theta = np.broadcast_to(alpha, (len(first), len(alpha)))
     for _ in range(steps):
-        theta = np.add.reduceat(r, first, axis=0) + alpha
-        r = likely * theta[bag]
-        r /= r.sum(1, keepdims=True)
+        # the words' shares are likely * theta / weight; summed by bag they need not be formed
+        weight = np.einsum("ij,ij->i", likely, theta[bag])
+        theta = theta * np.add.reduceat(likely / weight[:, None], first, axis=0) + alpha
+    r = likely * theta[bag]
+    r /= np.einsum("ij->i", r)[:, None]
     return r
 
 
