@@ -89,24 +89,23 @@ def pagerank(edges: DataFrame, rounds: int | None = None, damping: float = 0.85,
 def label_communities(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """(id, community): label propagation on the undirected graph until no label moves; ties go to the smallest label.
 
-    A vertex keeps its label while that is among the most frequent around it. Labels of even and odd rounds by the hash of the
-    vertex change in turn, so that neighbours can't swap labels for ever. A stated number of rounds ends it before."""
+    A vertex keeps its label while that is among the most frequent around it. In each round about half of those
+    that want to move do, by a hash of vertex and round, so that neighbours can't swap labels for ever. A stated number of rounds
+    ends it before."""
     both = edges.select("src", "dst").dropna().where("src <> dst")
     both = cut(both.union(both.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
     label = both.select(F.col("src").alias("id")).distinct().withColumn("community", F.col("id"))
-    still = 0
     for k in range(GUARD if rounds is None else rounds):
         votes = both.join(label, F.col("dst") == F.col("id")).groupBy("src", "community").agg(F.count("*").alias("n"))
         best = votes.groupBy("src").agg(F.min_by(F.struct("community", "n"), F.struct(-F.col("n"), F.col("community"))).alias("b"))
         own = votes.select(F.col("src").alias("id"), "community", F.col("n").alias("mine"))
         j = label.join(best, F.col("id") == F.col("src")).join(own, ["id", "community"], "left")
-        turn = F.pmod(F.xxhash64("id"), F.lit(2)) == k % 2
-        moves = turn & (F.coalesce("mine", F.lit(0)) < F.col("b.n"))
-        nxt = cut(j.select("id", F.when(moves, F.col("b.community")).otherwise(F.col("community")).alias("community"), moves.alias("moved")))
-        still = 0 if nxt.where("moved").count() else still + 1
-        label = nxt.drop("moved")
-        if still == 2:
-            return label
+        wants = F.coalesce("mine", F.lit(0)) < F.col("b.n")
+        turn = F.pmod(F.xxhash64("id", F.lit(k)), F.lit(2)) == 0
+        label = cut(j.select("id", F.when(wants & turn, F.col("b.community")).otherwise(F.col("community")).alias("community"), wants.alias("wants")))
+        if label.where("wants").isEmpty():
+            return label.drop("wants")
+        label = label.drop("wants")
     if rounds is not None:
         return label
     raise RuntimeError(f"no end after {GUARD} rounds")
