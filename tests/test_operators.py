@@ -316,7 +316,7 @@ def test_reciprocal_links_rank_among_all_rows(spark, smoke_dir):
     e = {r.vec_id: np.array(r.embedding, float) for r in spark.read.parquet(f"{smoke_dir}/embeddings.parquet").collect()}
     first = {a: sorted(e, key=lambda b: (round(float(np.linalg.norm(e[a] - e[b])), 6), b))[:4] for a in e}
     want = {(a, b) for a in e for b in first[a] if a < b and a in first[b]}
-    assert {(r.left, r.right) for r in q.queries()["reciprocal_links_all"](spark, smoke_dir).collect()} == want
+    assert {(r.left, r.right) for r in q.queries()["reciprocal_links"](spark, smoke_dir).collect()} == want
 
 
 def test_whole_graphs_against_brute_force(spark, tmp_path):
@@ -333,7 +333,7 @@ def test_whole_graphs_against_brute_force(spark, tmp_path):
         new = [b for b in out.get(todo.pop(), []) if b not in seen]
         seen.update(new)
         todo += new
-    assert {r.id for r in q.queries()["closure_reachability_all"](spark, str(tmp_path)).collect()} == seen
+    assert {r.id for r in q.queries()["closure_reachability"](spark, str(tmp_path)).collect()} == seen
     core = edges
     while True:
         heads, tails = {y for _, y in core}, {x for x, _ in core}
@@ -341,5 +341,5 @@ def test_whole_graphs_against_brute_force(spark, tmp_path):
         if left == core:
             break
         core = left
-    got = {r.vertex for r in q.queries()["cycle_core_all"](spark, str(tmp_path)).collect()}
+    got = {r.vertex for r in q.queries()["cycle_core"](spark, str(tmp_path)).collect()}
     assert got == {a for a, _ in core} and max(got) > 1009
