@@ -220,7 +220,8 @@ class Lexicon:
         if not core and plain:
             rare = min(plain, key=lambda w: (self.words.get(w, 0), -len(w), w))
             core = [rare]
-            given.remove(rare)
+            if rare in given:  # a firm's rest holds lines of business only
+                given.remove(rare)
         given = [self.nicknames.get(w, w) for w in given]
         prefixes = " ".join(sorted({w[:3] for w in core})) + (" ." if short else "") if len(core) > 1 and not any(len(w) > 1 for w in given) else None
         return "firm" if firm else "person", " ".join(core), given, prefixes

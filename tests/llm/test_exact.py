@@ -262,3 +262,9 @@ def test_top_terms_are_spelt_from_all_texts():
     wanted = np.unique(wordhash.words(["läuse words"])[0])
     got = pd.concat(subjects._spelt(wanted)(iter([pd.DataFrame({"text": texts})])))
     assert dict(zip(got["term"], got["n"])) == {"läuse": 2, "words": 2500}
+
+
+def test_firm_of_common_words():
+    lex = names.Lexicon({"nicholas": 8, "trading": 40, "transport": 20}, {"trading", "transport"})
+    assert lex.parse("Nicholas Trading Ltd")[:3] == ("firm", "nicholas", ["trading"])  # the core may be no line of business
+    assert lex.parse("Trading Transport")[:3] == ("firm", "transport", ["trading"])
