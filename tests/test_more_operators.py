@@ -10,6 +10,7 @@ from archivolt import contracts
 from archivolt.functions import text
 from archivolt.operators import changes, chunking, classify, dedupe, evaluation, evidence, graph, lexical, quality, rules, vector
 from archivolt.plans import publish as pub
+from archivolt.session import cut
 from archivolt.sources import files
 
 
@@ -161,3 +162,17 @@ def test_extraction_and_embedding(spark, tmp_path):
     (tmp_path / "one" / "two").mkdir(parents=True)
     (tmp_path / "one" / "two" / "f.txt").write_text("x")
     assert [(r.relative_path, r.status) for r in files.walk_frame(spark, str(tmp_path), "s").collect()] == [("one/two/f.txt", "file")]
+
+
+@pytest.mark.parametrize("block", [graph.BLOCK, 16])
+def test_reachable_follows_long_paths_in_few_rounds(spark, monkeypatch, block):
+    cuts = []
+    monkeypatch.setattr(graph, "cut", lambda df: cuts.append(1) or cut(df))
+    chain = [(k, k + 1) for k in range(40)] + [(40, 3), (50, 51), (51, 7)]
+    e = spark.createDataFrame(chain + [(1, 2), (None, 60), (5, None)], "src long, dst long")
+    got = graph.reachable(e, spark.createDataFrame([(2,), (70,), (None,)], "id long"), block=block)
+    assert sorted(r.id for r in got.collect()) == [*range(2, 41), 70]
+    assert len(cuts) < 5 if block > 16 else len(cuts) > 5
+    names = e.select(F.concat(F.lit("v"), "src").alias("src"), F.concat(F.lit("v"), "dst").alias("dst"))
+    got = graph.reachable(names, spark.createDataFrame([("v50",)], "id string"), block=8 * block)
+    assert sorted(r.id for r in got.collect()) == sorted(["v50", "v51", *(f"v{k}" for k in range(3, 41))])
