@@ -21,8 +21,10 @@ from archivolt.operators.components import connected_components
 from archivolt.session import cut
 
 _GOLDEN, _MIX = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
-#: Bits of the buckets in which holders of shingles are counted, and buckets of a row of counts.
-_BUCKET_BITS, _BLOCK = 20, 4096
+#: Most bits of the buckets in which holders of shingles are counted, those of a block of buckets, and shingles held at once.
+_BUCKET_BITS, _BLOCK_BITS, _HELD = 27, 16, 4_000_000
+#: Most texts of candidate pairs whose ids are broadcast.
+_CANDIDATES = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -93,25 +95,44 @@ def exact_edges(df: DataFrame, key: Column, identity: str) -> DataFrame:
     return keyed.join(lead, "k").where("id <> left").select("left", F.col("id").alias("right"))
 
 
-def _bucket(grams: np.ndarray) -> np.ndarray:
-    return (grams.view(np.uint64) >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)
+def _bucket(grams: np.ndarray, bits: int) -> np.ndarray:
+    return (grams.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _holders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    n = np.zeros(1 << _BUCKET_BITS, np.int64)
-    for pdf in batches:
-        for lo in range(0, len(pdf), 2000):
-            n += np.bincount(_bucket(np.concatenate(pdf["grams"].iloc[lo : lo + 2000].tolist()).astype(np.int64)), minlength=len(n))
-    parts = n.reshape(-1, _BLOCK)
-    seen = np.flatnonzero(parts.any(1))
-    yield pd.DataFrame({"block": seen, "n": [parts[k].tobytes() for k in seen]})
+def _holders(bits: int):
+    """(block, n): the buckets of shingles, one a holder, as places in their block of buckets."""
+
+    def out(parts: list[np.ndarray]) -> pd.DataFrame:
+        b = np.sort(_bucket(np.concatenate(parts), bits))
+        block, first = np.unique(b >> _BLOCK_BITS, return_index=True)
+        places = (b & ((1 << _BLOCK_BITS) - 1)).astype(np.uint16)
+        return pd.DataFrame({"block": block, "n": [x.tobytes() for x in np.split(places, first[1:])]})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts, size = [], 0
+        for pdf in batches:
+            for g in pdf["grams"]:
+                parts.append(np.asarray(g, np.int64))
+                size += len(g)
+                if size >= _HELD:
+                    yield out(parts)
+                    parts, size = [], 0
+        if size:
+            yield out(parts)
+
+    return run
 
 
 def _added(pdf: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({"block": pdf["block"].iloc[:1], "n": [np.sum([np.frombuffer(x, np.int64) for x in pdf["n"]], axis=0).tobytes()]})
+    """Counts of a block in a byte each: as they are up to 128, by their logarithm beyond, so that their order stays."""
+    n = np.zeros(1 << _BLOCK_BITS, np.int64)
+    for x in pdf["n"]:
+        n += np.bincount(np.frombuffer(x, np.uint16), minlength=len(n))
+    coded = np.where(n <= 128, n, np.minimum(255, 128 + 6 * np.log2(np.maximum(n, 128) / 128))).astype(np.uint8)
+    return pd.DataFrame({"block": pdf["block"].iloc[:1], "n": [coded.tobytes()]})
 
 
-def _posted(shared, least: float):
+def _posted(shared, bits: int, least: float):
     """(id, size, gram, place): the rarest shingles of each text that a text of that similarity must share one of."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -121,7 +142,7 @@ def _posted(shared, least: float):
                 grams, size, place = [], [], []
                 for g in pdf["grams"].iloc[lo : lo + 2000]:
                     g = np.asarray(g, np.int64)
-                    n = held[_bucket(g)]
+                    n = held[_bucket(g, bits)]
                     order = np.lexsort((g, n))[: len(g) - int(np.ceil(least * len(g) - 1e-9)) + 1]
                     at = np.flatnonzero(n[order] > 1)  # no other text holds the rest
                     grams.append(g[order[at]])
@@ -140,16 +161,21 @@ def near_links(distinct: DataFrame, policy: DedupePolicy = DedupePolicy(), least
     bucket, then by hash; similar texts share one among their first few, and from the first one shared on enough must follow."""
     least = policy.similarity if least is None else least
     base = cut(distinct.where(F.size("grams") > 0).select("id", "grams"))
-    held = np.zeros(((1 << _BUCKET_BITS) // _BLOCK, _BLOCK), np.int64)
-    for r in base.select("grams").mapInPandas(_holders, "block int, n binary").groupBy("block").applyInPandas(_added, "block int, n binary").toLocalIterator():  # a table of fixed size
-        held[r.block] = np.frombuffer(r.n, np.int64)
+    total = base.agg(F.sum(F.size("grams").cast("long"))).first()[0] or 0
+    bits = min(_BUCKET_BITS, max(_BLOCK_BITS, total.bit_length() + 2))
+    held = np.zeros((1 << (bits - _BLOCK_BITS), 1 << _BLOCK_BITS), np.uint8)
+    for r in base.select("grams").mapInPandas(_holders(bits), "block int, n binary").groupBy("block").applyInPandas(_added, "block int, n binary").toLocalIterator():  # a table of bounded size
+        held[r.block] = np.frombuffer(r.n, np.uint8)
     shared = base.sparkSession.sparkContext.broadcast(held.ravel())
-    posted = cut(base.mapInPandas(_posted(shared, least), f"id {dict(base.dtypes)['id']}, size int, gram long, place int"))
+    posted = cut(base.mapInPandas(_posted(shared, bits, least), f"id {dict(base.dtypes)['id']}, size int, gram long, place int"))
     x = posted.select("gram", F.col("id").alias("left"), F.col("size").alias("m"), F.col("place").alias("i"))
     y = posted.select("gram", F.col("id").alias("right"), F.col("size").alias("n"), F.col("place").alias("j"))
     common = F.least(F.col("m") - F.col("i"), F.col("n") - F.col("j"))  # at most, if this is the first shingle shared
     meet = x.join(y, "gram").where((F.col("left") < F.col("right")) & (common >= least / (1 + least) * (F.col("m") + F.col("n")) - 1e-6))
-    p = meet.select("left", "right").distinct()
+    p = cut(meet.select("left", "right").distinct())
+    # only texts of candidate pairs move with their shingles
+    ids = cut(p.select(F.explode(F.array("left", "right")).alias("id")).distinct())
+    base = base.join(F.broadcast(ids) if ids.count() <= _CANDIDATES else ids, "id", "left_semi")
     p = p.join(base.select(F.col("id").alias("left"), F.col("grams").alias("a")), "left")
     p = p.join(base.select(F.col("id").alias("right"), F.col("grams").alias("b")), "right")
     return p.select("left", "right", jaccard(F.col("a"), F.col("b")).alias("score")).where(F.col("score") >= least)

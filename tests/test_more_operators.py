@@ -176,3 +176,19 @@ def test_reachable_follows_long_paths_in_few_rounds(spark, monkeypatch, block):
     names = e.select(F.concat(F.lit("v"), "src").alias("src"), F.concat(F.lit("v"), "dst").alias("dst"))
     got = graph.reachable(names, spark.createDataFrame([("v50",)], "id string"), block=8 * block)
     assert sorted(r.id for r in got.collect()) == sorted(["v50", "v51", *(f"v{k}" for k in range(3, 41))])
+
+
+def test_shingles_of_one_text_are_not_posted(spark, monkeypatch):
+    posted = []
+
+    def kept(df):
+        out = cut(df)
+        posted.extend([out.count()] if "gram" in out.columns else [])
+        return out
+
+    monkeypatch.setattr(dedupe, "cut", kept)
+    texts = spark.range(30).select("id", F.transform(F.sequence(F.lit(1), F.lit(40_000)), lambda i: F.xxhash64(F.when(i <= 100, i).otherwise(i + F.col("id") * 100_000))).alias("grams"))
+    twin = texts.where("id = 3").select(F.lit(99).cast("long").alias("id"), F.slice("grams", 2, 39_999).alias("grams"))
+    links = dedupe.near_links(texts.union(twin), least=0.45).select("left", "right", F.round("score", 6))
+    assert [tuple(r) for r in links.collect()] == [(3, 99, 0.999975)]
+    assert 0 < posted[0] < 0.1 * 31 * 40_000
