@@ -270,24 +270,30 @@ class Matcher:
     def _longest(equal: np.ndarray, lo: int) -> tuple[float, int, int, float] | None:
         """(share of the item, first and last word, score) of the best run along a longest common subsequence."""
         n, m = equal.shape
-        table = np.zeros((n + 1, m + 1), np.int16)
-        for i in range(n):  # longest common subsequence, a row at a time
-            np.maximum.accumulate(np.maximum(table[i, 1:], table[i, :-1] + equal[i]), out=table[i + 1, 1:])
-        i, j, pairs = n, m, []
-        while i and j:
-            if table[i, j] == table[i - 1, j]:
+        # longest common subsequence, a row of the table at a time: bit j of a row is set where its length grows at column j
+        full = (1 << m) - 1
+        grows, v = [0], full
+        bits, wide = np.packbits(equal, axis=1, bitorder="little").tobytes(), (m + 7) // 8
+        for at in range(0, len(bits), wide or 1):
+            u = v & int.from_bytes(bits[at : at + wide], "little")
+            v = ((v + u) | (v - u)) & full
+            grows.append(v ^ full)
+        i, size, pairs = n, grows[-1].bit_count(), []
+        while size:
+            if (grows[i - 1] & full).bit_count() == size:
                 i -= 1
-            elif table[i, j] == table[i, j - 1]:
-                j -= 1
-            else:
-                i, j = i - 1, j - 1
-                pairs.append((i, j))
+                continue
+            j = (grows[i] & full).bit_length() - 1
+            i, full, size = i - 1, (1 << j) - 1, size - 1
+            pairs.append((i, j))
         pairs.reverse()
         # the best run of matches: each counts one, words missed in the item and far jumps in the document cost
         best, score, begin = (0.0, 0, 0), 0.0, 0
+        before = pairs[0] if pairs else None
         for k, (i, j) in enumerate(pairs):
-            if k:
-                missed, extra = i - pairs[k - 1][0] - 1, j - pairs[k - 1][1] - 1
+            missed, extra = i - before[0] - 1, j - before[1] - 1
+            before = i, j
+            if missed > 0 or extra > 0:
                 score -= MISS * max(missed, min(extra, 1)) + SKIP * max(0, extra - missed - 1)
                 if score < 0:
                     score, begin = 0.0, k

@@ -268,3 +268,19 @@ def test_firm_of_common_words():
     lex = names.Lexicon({"nicholas": 8, "trading": 40, "transport": 20}, {"trading", "transport"})
     assert lex.parse("Nicholas Trading Ltd")[:3] == ("firm", "nicholas", ["trading"])  # the core may be no line of business
     assert lex.parse("Trading Transport")[:3] == ("firm", "transport", ["trading"])
+
+
+def test_longest_run_keeps_a_bit_a_cell():
+    import tracemalloc
+
+    from archivolt.llm.leaks import Matcher
+
+    equal = np.zeros((2000, 6000), bool)
+    equal[np.arange(500, 900), np.arange(3000, 3400)] = True
+    tracemalloc.start()
+    got = Matcher._longest(equal, 10)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got is not None and got[1:3] == (3010, 3409) and got[0] == 0.2
+    assert peak < 10e6  # a table of the lengths takes 24 MB
+    assert Matcher._longest(np.zeros((5, 0), bool), 0) is None and Matcher._longest(np.zeros((5, 9), bool), 0) is None
