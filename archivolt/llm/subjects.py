@@ -47,6 +47,10 @@ STRAY_WORDS, STRAY_SHARE = 2.5, 0.1
 SEED = 3
 MAX_SUBJECTS = 10_000
 _IS = codepoints.lookup(digit="0123456789_", line="\n\0", space=" \t\r ")
+#: The same as one table: 1 part of a code, 2 line end, 4 something other than space.
+_KIND = (_IS["digit"] + 2 * _IS["line"] + 4 * ~(_IS["line"] | _IS["space"])).astype(np.uint8)
+#: Characters tokenised at once, and words inferred at once: as many as stay in a core's cache.
+CHARACTERS, WORDS = 200_000, 2000
 
 
 def _bags(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -54,13 +58,15 @@ def _bags(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     h, owner, start, end = wordhash.words(texts)
     cp, begin = codepoints.join(texts)
     # a word with a digit or beside an underscore is part of a code
-    digits = np.cumsum(np.append(0, _IS["digit"][cp]))
+    kind = _KIND[cp]
+    digits = np.zeros(len(cp) + 1, np.int32)
+    np.cumsum(kind & 1, out=digits[1:])
     a, b = begin[owner] + start, begin[owner] + end
     plain = digits[np.minimum(b + 1, len(cp))] == digits[np.maximum(a - 1, 0)]
     # blank: a line end followed by another with nothing but space between
-    filled = ~(_IS["line"][cp] | _IS["space"][cp])
-    ends = np.flatnonzero(_IS["line"][cp])
-    seen = np.cumsum(np.append(0, filled))
+    ends = np.flatnonzero(kind & 2)
+    seen = np.zeros(len(cp) + 1, np.int32)
+    np.cumsum(kind >> 2, out=seen[1:])
     empty = np.append(False, seen[ends[1:]] == seen[ends[:-1]]) if len(ends) else np.zeros(0, bool)
     blank = np.zeros(len(cp) + 1, np.int32)
     blank[ends[empty | (cp[ends] == 0)]] = 1
@@ -70,21 +76,37 @@ def _bags(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return h[keep], owner[keep], paragraph[keep]
 
 
+def _sums(words: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(word, count) of each word once, its counts added."""
+    w = np.concatenate(words)
+    order = np.argsort(w, kind="stable")
+    w = w[order]
+    first = np.flatnonzero(np.append(True, w[1:] != w[:-1])) if len(w) else np.zeros(0, np.int64)
+    return w[first], np.add.reduceat(np.concatenate(counts)[order], first) if len(w) else np.zeros(0, np.int64)
+
+
 def _df(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    total: dict[int, int] = {}
-    n = 0
+    words, counts, size, n = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0, 0
     for pdf in batches:
         texts = pdf["text"].tolist()
-        for lo, hi in codepoints.slices(texts):
+        for lo, hi in codepoints.slices(texts, CHARACTERS):
             h, owner, _ = _bags(texts[lo:hi])
             n += hi - lo
-            pair = np.unique(np.stack([h, owner.astype(np.uint64)]), axis=1)[0] if len(h) else h
-            for w, c in zip(*(x.tolist() for x in np.unique(pair, return_counts=True))):
-                total[w] = total.get(w, 0) + c
-        if len(total) > 500_000:
-            yield pd.DataFrame({"word": np.fromiter(total.keys(), np.uint64, len(total)).view(np.int64), "n": list(total.values())})
-            total.clear()
-    yield pd.DataFrame({"word": np.append(np.fromiter(total.keys(), np.uint64, len(total)).view(np.int64), 0), "n": [*total.values(), n]})
+            u, at = np.unique(h, return_inverse=True)
+            # every word once a text
+            pair = np.sort(at * (hi - lo) + owner)
+            pair = pair[np.append(True, pair[1:] != pair[:-1])] if len(pair) else pair
+            words.append(u)
+            counts.append(np.bincount(pair // (hi - lo), minlength=len(u)))
+            size += len(u)
+            if size > 1_000_000:
+                w, c = _sums(words, counts)
+                if len(w) > 500_000:
+                    yield pd.DataFrame({"word": w.view(np.int64), "n": c})
+                    w, c = w[:0], c[:0]
+                words, counts, size = [w], [c], len(w)
+    w, c = _sums(words, counts)
+    yield pd.DataFrame({"word": np.append(w.view(np.int64), 0), "n": np.append(c, n)})
 
 
 def vocabulary(documents: DataFrame, stop_share: float = STOP_SHARE) -> tuple[np.ndarray, np.ndarray, int]:
@@ -152,16 +174,18 @@ def _tokens(shared, label: str | None = None):
         turn = context.partitionId() if context else 0
         for pdf in batches:
             texts, ids = pdf["text"].tolist(), pdf["doc_id"].to_numpy()
-            for lo, hi in codepoints.slices(texts, 200_000):
+            for lo, hi in codepoints.slices(texts, CHARACTERS):
                 turn += 1
                 h, owner, paragraph = _bags(texts[lo:hi])
                 i = _index(vocab, h)
                 keep = i >= 0
                 i, owner, paragraph = i[keep].astype(np.int32), owner[keep], paragraph[keep].astype(np.int32)
                 first = np.flatnonzero(np.diff(owner, prepend=-1))
-                parts = zip(np.split(i, first[1:]), np.split(paragraph, first[1:])) if len(first) else ()
-                rows = [(int(ids[lo + o]), turn % BATCHES, w.tobytes(), (p - p[0]).astype(np.int32).tobytes()) for o, (w, p) in zip(owner[first], parts)]
-                out = pd.DataFrame(rows, columns=["doc_id", "batch", "words", "paragraphs"])
+                ends = np.append(first, len(i))
+                paragraph = paragraph - np.repeat(paragraph[first], np.diff(ends))
+                w, p, cuts = i.tobytes(), paragraph.tobytes(), (4 * ends).tolist()
+                parts = list(zip(cuts, cuts[1:]))
+                out = pd.DataFrame({"doc_id": ids[lo + owner[first]], "batch": turn % BATCHES, "words": [w[a:b] for a, b in parts], "paragraphs": [p[a:b] for a, b in parts]})
                 yield out.assign(**{label: pdf[label].to_numpy()[lo + owner[first]]}) if label else out
 
     return run
@@ -169,27 +193,43 @@ def _tokens(shared, label: str | None = None):
 
 def _unpack(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word, paragraph numbered through, row) of a batch of documents."""
-    w = [np.frombuffer(x, np.int32) for x in pdf["words"]]
-    p = [np.frombuffer(x, np.int32) for x in pdf["paragraphs"]]
-    size = np.array([len(x) for x in w])
-    row = np.repeat(np.arange(len(w)), size)
-    word, par = np.concatenate(w), np.concatenate(p)
+    word, par = (np.frombuffer(b"".join(pdf[c]), np.int32) for c in ("words", "paragraphs"))
+    row = np.repeat(np.arange(len(pdf)), [len(x) // 4 for x in pdf["words"]])
     new = (np.diff(row, prepend=-1) != 0) | (np.diff(par, prepend=-1) != 0)
     return word, np.cumsum(new) - 1, row
 
 
+def _proportions(word: np.ndarray, first: np.ndarray, phi: np.ndarray, alpha: np.ndarray, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(theta, expected words of each topic, both bags x topics; weight of each word) by mean-field steps on each bag's proportions.
+
+    A word's shares in the topics are phi * theta / weight. They are nowhere formed: bags of one length are multiplied together,
+    about WORDS words at a time, so that their rows of phi are read from the cache in every step."""
+    size = np.diff(np.append(first, len(word)))
+    theta, expected = np.empty((len(first), len(alpha)), phi.dtype), np.empty((len(first), len(alpha)), phi.dtype)
+    weight = np.empty(len(word), phi.dtype)
+    order = np.argsort(size, kind="stable")
+    lengths, begin = np.unique(size[order], return_index=True)
+    for n, lo, hi in zip(lengths.tolist(), begin.tolist(), [*begin[1:].tolist(), len(order)]):
+        step = max(1, WORDS // n)
+        for k in range(lo, hi, step):
+            bags = order[k : min(hi, k + step)]
+            at = first[bags][:, None] + np.arange(n)
+            likely = phi[word[at]]
+            t = np.broadcast_to(alpha, (len(bags), len(alpha)))
+            for _ in range(steps):
+                w = likely @ t[:, :, None]
+                t = t * ((1 / w).transpose(0, 2, 1) @ likely)[:, 0] + alpha
+            w = likely @ t[:, :, None]
+            theta[bags], weight[at] = t, w[:, :, 0]
+            expected[bags] = t * ((1 / w).transpose(0, 2, 1) @ likely)[:, 0]
+    return theta, expected, weight
+
+
 def infer(word: np.ndarray, bag: np.ndarray, phi: np.ndarray, alpha: np.ndarray, steps: int = STEPS) -> np.ndarray:
     """Each word's share in each topic, by mean-field steps on its paragraph's proportions. Bags are runs of equal numbers."""
-    first = np.flatnonzero(np.diff(bag, prepend=-1))
-    likely = phi[word]
-    theta = np.broadcast_to(alpha, (len(first), len(alpha)))
-    for _ in range(steps):
-        # the words' shares are likely * theta / weight; summed by bag they need not be formed
-        weight = np.einsum("ij,ij->i", likely, theta[bag])
-        theta = theta * np.add.reduceat(likely / weight[:, None], first, axis=0) + alpha
-    r = likely * theta[bag]
-    r /= np.einsum("ij->i", r)[:, None]
-    return r
+    new = np.diff(bag, prepend=-1) != 0
+    theta, _, weight = _proportions(word, np.flatnonzero(new), phi, alpha, steps)
+    return phi[word] * theta[np.cumsum(new) - 1] / weight[:, None]
 
 
 def _expect(shared):
@@ -197,18 +237,22 @@ def _expect(shared):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         phi, alpha = shared.value
+        # the sum of theta / weight over each word's places; times phi it is the word's count
         out = np.zeros(phi.shape, np.float32)
         some = False
         for pdf in batches:
-            for lo in range(0, len(pdf), 1000):
+            for lo in range(0, len(pdf), 5000):
                 some = True
-                word, bag, _ = _unpack(pdf.iloc[lo : lo + 1000])
-                r = infer(word, bag, phi, alpha)
+                word, bag, _ = _unpack(pdf.iloc[lo : lo + 5000])
+                theta, _, weight = _proportions(word, np.flatnonzero(np.diff(bag, prepend=-1)), phi, alpha)
                 order = np.argsort(word, kind="stable")
-                first = np.flatnonzero(np.diff(word[order], prepend=-1))
-                out[word[order][first]] += np.add.reduceat(r[order], first, axis=0)
+                word, bag, weight = word[order], bag[order], 1 / weight[order, None]
+                for k in range(0, len(word), WORDS):
+                    w = word[k : k + WORDS]
+                    first = np.flatnonzero(np.diff(w, prepend=-1))
+                    out[w[first]] += np.add.reduceat(theta[bag[k : k + WORDS]] * weight[k : k + WORDS], first, axis=0)
         if some:
-            yield pd.DataFrame({"z": [out.tobytes()]})
+            yield pd.DataFrame({"z": [(out * phi).tobytes()]})
 
     return run
 
@@ -354,7 +398,7 @@ def _assign(shared):
                 part = pdf.iloc[lo : lo + 2000]
                 word, bag, row = _unpack(part)
                 first = np.flatnonzero(np.diff(bag, prepend=-1))
-                words = np.add.reduceat(infer(word, bag, phi, alpha) @ gather, first, axis=0)  # paragraphs x subjects
+                words = _proportions(word, first, phi, alpha)[1] @ gather  # paragraphs x subjects
                 doc = row[first]
                 whole = np.zeros((len(part), len(classes)), np.float32)
                 np.add.at(whole, doc, words)

@@ -1,12 +1,16 @@
 """Operators that fit a model: accuracy on held-out rows of a small archive, exact round trips, and awkward rows."""
 
 import random
+import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import pytest
 from llm_samples import text
 from pyspark.sql import functions as F
 
+from archivolt.functions import wordhash
 from archivolt.llm import encoding, language, leaks, scans, subjects
 
 
@@ -189,3 +193,41 @@ def test_subject_paragraphs():
     phi = np.array([[0.9, 0.01, 0.09], [0.01, 0.9, 0.09]], np.float32)
     r = subjects.infer(np.array([0, 0, 1, 1]), np.array([0, 0, 0, 1]), phi, np.array([0.1, 0.1, 0.5], np.float32))
     assert r[0, 0] > 0.5 and r[3, 1] > 0.5 and np.allclose(r.sum(1), 1)
+
+
+def test_subject_counts_in_small_blocks():
+    """Expected counts are those of the plain formula; no array of words x topics is formed for it."""
+    rng = np.random.default_rng(5)
+    phi = rng.random((400, 96)).astype(np.float32)
+    phi, alpha = phi / phi.sum(0), np.full(96, 0.05, np.float32)
+    docs = [rng.integers(0, 400, 3 + k % 300).astype(np.int32) for k in range(900)]
+    parts = [np.sort(rng.integers(0, 4, len(d))).astype(np.int32) for d in docs]
+    pdf = pd.DataFrame({"words": [d.tobytes() for d in docs], "paragraphs": [p.tobytes() for p in parts]})
+    expected = np.zeros(phi.shape)
+    for d, p in zip(docs, parts):
+        for k in np.unique(p):
+            w, theta = d[p == k], alpha.astype(float)
+            for _ in range(subjects.STEPS):
+                theta = theta * (phi[w] / (phi[w] @ theta)[:, None]).sum(0) + alpha
+            np.add.at(expected, w, phi[w] * theta / (phi[w] @ theta)[:, None])
+    tracemalloc.start()
+    (got,) = subjects._expect(SimpleNamespace(value=(phi, alpha)))(iter([pdf]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.allclose(np.frombuffer(got.z[0], np.float32).reshape(phi.shape), expected, rtol=1e-3, atol=1e-4)
+    assert peak < sum(map(len, docs)) * 96 * 4 / 2
+
+
+def test_subject_document_frequencies():
+    """A word counts once a text, whatever blocks the texts fall into; what a block needs doesn't grow with the texts."""
+    texts = [f"alpha alpha beta{'' if k % 2 else ' gamma'} x_1 " + "delta " * (k % 50) + "\n" for k in range(6000)] + ["", None]
+    tracemalloc.start()
+    got = pd.concat(subjects._df(iter([pd.DataFrame({"text": texts[:2000]}), pd.DataFrame({"text": texts[2000:]})])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    h = wordhash.words(["alpha beta gamma delta"])[0].view(np.int64).tolist()
+    counts = dict(zip(got["word"], got["n"]))
+    assert [counts[w] for w in h] == [6000, 6000, 3000, 5880] and counts[0] == 6002 and len(counts) == 5
+    assert peak < 25e6
+    empty = pd.concat(subjects._df(iter([pd.DataFrame({"text": ["", "1 2"]})])))
+    assert empty.to_dict("list") == {"word": [0], "n": [2]}
